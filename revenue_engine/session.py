@@ -16,6 +16,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Building a map from repeated keys keeps the last one, as a JSON object
+    # decoded into a map does and as a CSV header with a repeated name does.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -39,7 +42,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 def ensure_session_settings(spark: SparkSession) -> None:
     """Apply runtime SQL settings the operators depend on (idempotent)."""
-    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
+    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode",
+              "spark.sql.mapKeyDedupPolicy"):
         spark.conf.set(k, BASE_CONF[k])
 
 
