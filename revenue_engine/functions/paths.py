@@ -21,3 +21,16 @@ def path_source_name(path) -> Column:
 def path_file_date(path) -> Column:
     p = F.col(path) if isinstance(path, str) else path
     return F.try_to_date(F.regexp_extract(p, PATH_PATTERN, 2), "yyyy-MM-dd")
+
+
+# Partition-folder layout written by Spark: ``.../source_id=<id>/file_date=<day>/<part file>``.
+HIVE_PATTERN = r"source_id=([^/]+)/file_date=([0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]+$"
+
+
+def hive_source_id(path) -> Column:
+    return F.regexp_extract(F.col(path) if isinstance(path, str) else path, HIVE_PATTERN, 1)
+
+
+def hive_file_date(path) -> Column:
+    p = F.col(path) if isinstance(path, str) else path
+    return F.try_to_date(F.regexp_extract(p, HIVE_PATTERN, 2), "yyyy-MM-dd")

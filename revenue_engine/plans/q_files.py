@@ -1 +1,95 @@
-"""Queries (filled in below)."""
+"""Queries over real landed files: CSV scan, outcomes, manifest, checksums.
+
+The fixture rows are rendered as CSV text (header first, records in line
+order), landed under the shared folder as one file per (source, day) and
+scanned back. Files whose ledger status is ``failed`` get a stray quote in
+their first data record, so the failure path runs on real bytes too.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from revenue_engine.fixtures import fixture, with_fixtures
+from revenue_engine.functions.paths import hive_file_date, hive_source_id
+from revenue_engine.plans.catalog import query
+from revenue_engine.session import scratch_path
+from revenue_engine.sources import landing as ld
+
+HEADER = "date,revenue,currency,product"
+
+# Oracle: the same CSV text rendered in SQL.
+RENDERED_CTE = f"""
+rendered as (
+  select r.source_id, r.file_date, r.line_number, r.o_orderkey,
+         concat_ws(',', r.date_s, r.revenue_s, r.currency_s,
+                   case when f.status = 'failed' and r.line_number = 2 then concat(r.product, '"x') else r.product end) as value,
+         f.status as ledger_status
+  from fx_raw_revenue r join fx_files f on f.source_id = r.source_id and f.file_date = r.file_date
+  union all
+  select source_id, file_date, 1 as line_number, null as o_orderkey, '{HEADER}' as value, status as ledger_status
+  from fx_files
+)"""
+
+
+def render_fixture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(source_id, file_date, line_number, value)`` — the text of every landed file."""
+    raw = fixture(spark, sf_dir, "fx_raw_revenue")
+    files = fixture(spark, sf_dir, "fx_files").select("source_id", "file_date", "status")
+    rows = raw.join(files, ["source_id", "file_date"])
+    product = F.when((F.col("status") == "failed") & (F.col("line_number") == 2),
+                     F.concat(F.col("product"), F.lit('"x'))).otherwise(F.col("product"))
+    body = rows.select("source_id", "file_date", "line_number",
+                       F.concat_ws(",", "date_s", "revenue_s", "currency_s", product).alias("value"))
+    head = files.select("source_id", "file_date", F.lit(1).cast("long").alias("line_number"),
+                        F.lit(HEADER).alias("value"))
+    return body.unionByName(head)
+
+
+def land_files(rendered: DataFrame, root: str) -> None:
+    """One text file per (source, day): cluster by file, order by line, partition folders."""
+    (rendered.repartition("source_id", "file_date")
+     .sortWithinPartitions("source_id", "file_date", "line_number")
+     .select("source_id", "file_date", "value")
+     .write.partitionBy("source_id", "file_date").text(root))
+
+
+def landed_root(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_path(spark, "landing")
+    land_files(render_fixture_files(spark, sf_dir), root)
+    return root
+
+
+def with_keys(df: DataFrame) -> DataFrame:
+    return df.withColumn("source_id", hive_source_id("file_path")).withColumn("file_date", hive_file_date("file_path"))
+
+
+@query("landing_csv_scan", with_fixtures("""
+select r.source_id, r.file_date, r.line_number, r.date_s, r.revenue_s, r.currency_s, r.product
+from fx_raw_revenue r join fx_files f on f.source_id = r.source_id and f.file_date = r.file_date
+where f.status <> 'failed'""", "fx_raw_revenue", "fx_files"))
+def q_landing_csv_scan(spark, sf_dir):
+    """S2+S3: landed CSV read back as header-keyed maps with record line numbers."""
+    rows, _ = ld.scan_landed_csv(spark, landed_root(spark, sf_dir))
+    return with_keys(rows).select(
+        "source_id", "file_date", "line_number",
+        ld.payload_field("date").alias("date_s"), ld.payload_field("revenue").alias("revenue_s"),
+        ld.payload_field("currency").alias("currency_s"), ld.payload_field("product").alias("product"))
+
+
+@query("file_outcomes", with_fixtures("""
+select source_id, file_date,
+       case when ledger_status = 'failed' then 'failed' else 'completed' end as status,
+       case when ledger_status = 'failed' then 'malformed_record' end as reason,
+       cast(count(*) - 1 as bigint) as n_data_rows,
+       cast(case when ledger_status = 'failed' then 2 end as bigint) as first_bad_line
+from rendered group by source_id, file_date, ledger_status""",
+    "fx_raw_revenue", "fx_files", ctes=RENDERED_CTE))
+def q_file_outcomes(spark, sf_dir):
+    """L8+L9+L10: per landed file, completed or failed with the first bad record."""
+    root = landed_root(spark, sf_dir)
+    blocks = ld.materialize_blocks(ld.block_table(ld.read_lines(spark, root)))
+    out = ld.file_outcomes(blocks, ld.list_files(spark, root))
+    return with_keys(out).drop("file_path").select(
+        "source_id", "file_date", "status", "reason", "n_data_rows", "first_bad_line")
