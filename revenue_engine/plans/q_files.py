@@ -16,6 +16,7 @@ from revenue_engine.functions.paths import hive_file_date, hive_source_id
 from revenue_engine.plans.catalog import query
 from revenue_engine.session import scratch_path
 from revenue_engine.sources import landing as ld
+from revenue_engine.sources import manifest as mf
 
 HEADER = "date,revenue,currency,product"
 
@@ -33,12 +34,12 @@ rendered as (
 )"""
 
 
-def render_fixture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def render_fixture_files(spark: SparkSession, sf_dir: str, corrupt: bool = True) -> DataFrame:
     """``(source_id, file_date, line_number, value)`` — the text of every landed file."""
     raw = fixture(spark, sf_dir, "fx_raw_revenue")
     files = fixture(spark, sf_dir, "fx_files").select("source_id", "file_date", "status")
     rows = raw.join(files, ["source_id", "file_date"])
-    product = F.when((F.col("status") == "failed") & (F.col("line_number") == 2),
+    product = F.when(F.lit(corrupt) & (F.col("status") == "failed") & (F.col("line_number") == 2),
                      F.concat(F.col("product"), F.lit('"x'))).otherwise(F.col("product"))
     body = rows.select("source_id", "file_date", "line_number",
                        F.concat_ws(",", "date_s", "revenue_s", "currency_s", product).alias("value"))
@@ -55,12 +56,29 @@ def land_files(rendered: DataFrame, root: str) -> None:
      .write.partitionBy("source_id", "file_date").text(root))
 
 
-def landed_root(spark: SparkSession, sf_dir: str) -> str:
-    root = scratch_path(spark, "landing")
-    land_files(render_fixture_files(spark, sf_dir), root)
+_LANDED: dict[tuple, str] = {}
+
+
+def landed_root(spark: SparkSession, sf_dir: str, clean: bool = False) -> str:
+    """Land the fixture once per session and table folder; later calls reuse it."""
+    key = (spark.sparkContext.applicationId, sf_dir, clean)
+    root = _LANDED.get(key)
+    if root is None or not _exists(spark, root):
+        root = scratch_path(spark, "landing-clean" if clean else "landing")
+        rendered = render_fixture_files(spark, sf_dir, corrupt=not clean)
+        land_files(rendered, root)
+        _LANDED[key] = root
     return root
 
 
+def _exists(spark: SparkSession, root: str) -> bool:
+    try:
+        return len(spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                   .load(root).select("path").take(1)) > 0
+    except Exception:  # noqa: BLE001 - a vanished folder is simply re-landed
+        return False
+
+
 def with_keys(df: DataFrame) -> DataFrame:
     return df.withColumn("source_id", hive_source_id("file_path")).withColumn("file_date", hive_file_date("file_path"))
 
@@ -93,3 +111,41 @@ def q_file_outcomes(spark, sf_dir):
     out = ld.file_outcomes(blocks, ld.list_files(spark, root))
     return with_keys(out).drop("file_path").select(
         "source_id", "file_date", "status", "reason", "n_data_rows", "first_bad_line")
+
+
+CONTENT_CTE = """
+content as (
+  select source_id, file_date, string_agg(value || chr(10), '' order by line_number) as body,
+         string_agg(clean || chr(10), '' order by line_number) as clean_body
+  from (select *, case when ledger_status = 'failed' and line_number = 2
+                       then replace(value, '"x', '') else value end as clean from rendered) a
+  group by source_id, file_date
+)"""
+
+
+@query("file_manifest", with_fixtures("""
+select source_id, file_date, cast(strlen(body) as bigint) as size, sha256(body) as checksum
+from content""", "fx_raw_revenue", "fx_files", ctes=RENDERED_CTE + "," + CONTENT_CTE))
+def q_file_manifest(spark, sf_dir):
+    """Every landed file with its size and SHA-256 of its bytes."""
+    m = mf.file_manifest(spark, landed_root(spark, sf_dir))
+    return with_keys(m).select("source_id", "file_date", "size", "checksum")
+
+
+@query("checksum_audit", with_fixtures("""
+select source_id, file_date, sha256(clean_body) as expected, sha256(body) as actual,
+       case when sha256(clean_body) = sha256(body) then 'match' else 'mismatch' end as outcome
+from content""", "fx_raw_revenue", "fx_files", ctes=RENDERED_CTE + "," + CONTENT_CTE))
+def q_checksum_audit(spark, sf_dir):
+    """Checksums recorded at download (clean bytes) against the bytes now on disk."""
+    ledger = with_keys(mf.file_manifest(spark, landed_root(spark, sf_dir, clean=True)))
+    now = with_keys(mf.file_manifest(spark, landed_root(spark, sf_dir)))
+    return mf.checksum_audit(ledger, now)
+
+
+@query("content_checksum", """
+select doc_id, cast(strlen(text) as bigint) as n_bytes, sha256(text) as checksum from documents""")
+def q_content_checksum(spark, sf_dir):
+    """S5 on in-table content: SHA-256 of every whole document text."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return mf.content_checksum(docs, "doc_id", "text")
