@@ -49,8 +49,13 @@ def render_fixture_files(spark: SparkSession, sf_dir: str, corrupt: bool = True)
 
 
 def land_files(rendered: DataFrame, root: str) -> None:
-    """One text file per (source, day): cluster by file, order by line, partition folders."""
-    (rendered.repartition("source_id", "file_date")
+    """One text file per (source, day): cluster by file, order by line, partition folders.
+
+    An explicit partition count keeps AQE from coalescing the write into
+    one task; each task writes whole files.
+    """
+    n = int(rendered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (rendered.repartition(n, "source_id", "file_date")
      .sortWithinPartitions("source_id", "file_date", "line_number")
      .select("source_id", "file_date", "value")
      .write.partitionBy("source_id", "file_date").text(root))

@@ -1 +1,41 @@
-"""Queries (filled in below)."""
+"""Streaming queries run to completion with ``availableNow`` and read back."""
+
+from __future__ import annotations
+
+from revenue_engine.fixtures import fixture, with_fixtures
+from revenue_engine.operators import maintenance as mt
+from revenue_engine.plans.catalog import query
+from revenue_engine.plans.oracle_sql import PARSED_CTE
+from revenue_engine.plans.q_files import landed_root, with_keys
+from revenue_engine.plans.q_sinks import REVENUES_ORACLE
+from revenue_engine.session import scratch_path
+from revenue_engine.streaming import ingest as si
+
+
+@query("stream_ingest", with_fixtures(REVENUES_ORACLE, "fx_raw_revenue", "fx_rates", "fx_files",
+                                      ctes=PARSED_CTE))
+def q_stream_ingest(spark, sf_dir):
+    """R1+R2+R3: the landing folder as a file stream, converted per micro-batch."""
+    root = landed_root(spark, sf_dir)
+    table = scratch_path(spark, "stream-revenues")
+    rates_path = scratch_path(spark, "stream-rates")
+    fixture(spark, sf_dir, "fx_rates").write.partitionBy("rate_date").parquet(rates_path)
+    q = si.start_ingest(spark, root, lambda: spark.read.parquet(rates_path), table,
+                        scratch_path(spark, "stream-ckpt"), with_keys,
+                        max_files_per_trigger=1000, available_now=True)
+    q.awaitTermination()
+    return mt.read_revenues(spark, table)
+
+
+@query("stream_status_counts", with_fixtures("""
+select status, cast(count(*) as bigint) as n_files from fx_files group by status""", "fx_files"))
+def q_stream_status_counts(spark, sf_dir):
+    """Running files-per-status over a stream of file records (equals A2)."""
+    files_root = scratch_path(spark, "stream-files")
+    files = fixture(spark, sf_dir, "fx_files").select("file_id", "source_id", "file_date", "status")
+    files.write.parquet(files_root)
+    out = scratch_path(spark, "stream-status")
+    q = si.start_status_counts(spark, files_root, "file_id string, source_id string, file_date date, status string",
+                               out, scratch_path(spark, "stream-status-ckpt"), available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(out)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revenue_engine.operators.joins import fits_broadcast
-from revenue_engine.session import shared_dir
+from revenue_engine.session import scratch_path
 
 # The columns every revenue file must carry (exact case).
 REQUIRED_COLUMNS = ("date", "revenue", "currency")
@@ -128,9 +128,15 @@ def file_outcomes(blocks: DataFrame, manifest: DataFrame | None = None) -> DataF
 
 
 def materialize_blocks(blocks: DataFrame) -> DataFrame:
-    """Cut the lineage of the block table by a reliable checkpoint in the shared folder."""
-    shared_dir(blocks.sparkSession)
-    return blocks.checkpoint(eager=True)
+    """Write the block table once to the shared folder and read it back.
+
+    This cuts the lineage (a lost executor does not re-run pass 1) and,
+    unlike ``checkpoint()`` on an unpersisted plan, computes pass 1 once.
+    """
+    spark = blocks.sparkSession
+    path = scratch_path(spark, "csv-blocks")
+    blocks.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def number_lines(lines: DataFrame, blocks: DataFrame,
