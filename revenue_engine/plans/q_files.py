@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from revenue_engine.fixtures import fixture, with_fixtures
 from revenue_engine.functions.paths import hive_file_date, hive_source_id
 from revenue_engine.plans.catalog import query
-from revenue_engine.session import scratch_path
+from revenue_engine.session import listing_parallelism, scratch_path
 from revenue_engine.sources import landing as ld
 from revenue_engine.sources import manifest as mf
 
@@ -78,8 +78,9 @@ def landed_root(spark: SparkSession, sf_dir: str, clean: bool = False) -> str:
 
 def _exists(spark: SparkSession, root: str) -> bool:
     try:
-        return len(spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                   .load(root).select("path").take(1)) > 0
+        with listing_parallelism(spark):
+            listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+        return len(listing.select("path").take(1)) > 0
     except Exception:  # noqa: BLE001 - a vanished folder is simply re-landed
         return False
 

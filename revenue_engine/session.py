@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -47,6 +48,39 @@ def ensure_session_settings(spark: SparkSession) -> None:
         spark.conf.set(k, BASE_CONF[k])
 
 
+# Folders listed on the driver before listing becomes a distributed job.
+LISTING_DRIVER_THRESHOLD = 4096
+
+
+@contextlib.contextmanager
+def listing_parallelism(spark: SparkSession):
+    """Size Spark's file listing to the tree and the cluster.
+
+    By default more than 32 folders are listed by a Spark job with up to
+    10,000 tasks — one per folder of a per-source, per-day landing tree,
+    which costs far more than the listing itself. Up to
+    ``LISTING_DRIVER_THRESHOLD`` folders are listed on the driver; larger
+    trees are listed by a job with two tasks per core. Listing happens
+    when the DataFrame is created; the previous settings are restored after.
+    """
+    conf = {
+        "spark.sql.sources.parallelPartitionDiscovery.threshold": str(LISTING_DRIVER_THRESHOLD),
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism":
+            str(max(8, 2 * spark.sparkContext.defaultParallelism)),
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revenue_engine.operators.joins import fits_broadcast
-from revenue_engine.session import scratch_path
+from revenue_engine.session import listing_parallelism, scratch_path
 
 # The columns every revenue file must carry (exact case).
 REQUIRED_COLUMNS = ("date", "revenue", "currency")
@@ -68,8 +68,9 @@ def header_map(header: Column, fields: Column) -> Column:
 def read_lines(spark: SparkSession, paths) -> DataFrame:
     """Non-blank records with file, split offset and a split-local ordinal."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = (spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(paths)
-           .select(F.col("value"), F.col("_metadata.file_path").alias("file_path"),
+    with listing_parallelism(spark):
+        text = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(paths)
+    raw = (text.select(F.col("value"), F.col("_metadata.file_path").alias("file_path"),
                    F.col("_metadata.file_block_start").alias("block_start")))
     line = F.when(F.col("value").endswith("\r"), F.expr("substring(value, 1, length(value) - 1)")
                   ).otherwise(F.col("value"))
@@ -175,8 +176,9 @@ def scan_landed_csv(spark: SparkSession, paths, required=REQUIRED_COLUMNS,
 def list_files(spark: SparkSession, paths) -> DataFrame:
     """File listing without reading content: path, size, modification time."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-            .select(F.col("path").alias("file_path"), F.col("length").alias("size"),
+    with listing_parallelism(spark):
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    return (listing.select(F.col("path").alias("file_path"), F.col("length").alias("size"),
                     F.col("modificationTime").alias("modified_at")))
 
 

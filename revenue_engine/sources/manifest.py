@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revenue_engine.session import listing_parallelism
 from revenue_engine.sources.landing import list_files
 
 MAX_INLINE_BYTES = 256 * 1024 * 1024
@@ -51,8 +52,9 @@ def file_manifest(spark: SparkSession, paths, max_inline_bytes: int = MAX_INLINE
     """``(file_path, size, modified_at, checksum)`` for every landed file."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     listing = list_files(spark, paths)
-    inline = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-              .where(F.col("length") <= max_inline_bytes)
+    with listing_parallelism(spark):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    inline = (files.where(F.col("length") <= max_inline_bytes)
               .select(F.col("path").alias("file_path"), F.sha2(F.col("content"), 256).alias("checksum")))
     big = listing.where(F.col("size") > max_inline_bytes).select("file_path")
     # One task per large file: the listing of large files is small, and the
