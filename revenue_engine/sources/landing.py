@@ -23,6 +23,9 @@ tasks as it has blocks; no step gathers one file into one task.
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -174,12 +177,26 @@ def scan_landed_csv(spark: SparkSession, paths, required=REQUIRED_COLUMNS,
 
 
 def list_files(spark: SparkSession, paths) -> DataFrame:
-    """File listing without reading content: path, size, modification time."""
+    """Every file with size and modification time, without reading content.
+
+    Scans skip zero-byte files, so the path list comes from the file index
+    the driver already holds for planning (``inputFiles``); sizes and times
+    of non-empty files come from the ``binaryFile`` metadata columns.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
     with listing_parallelism(spark):
         listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-    return (listing.select(F.col("path").alias("file_path"), F.col("length").alias("size"),
-                    F.col("modificationTime").alias("modified_at")))
+    meta = listing.select(F.col("path").alias("file_path"), F.col("length").alias("size"),
+                          F.col("modificationTime").alias("modified_at"))
+    every = spark.createDataFrame([(_scan_path_form(p),) for p in listing.inputFiles()], "file_path string")
+    return (every.join(meta, "file_path", "left")
+            .select("file_path", F.coalesce(F.col("size"), F.lit(0).cast("long")).alias("size"), "modified_at"))
+
+
+def _scan_path_form(uri: str) -> str:
+    """``inputFiles`` gives URIs (``file:///x``, percent-encoded); scans give ``file:/x``."""
+    uri = unquote(uri)
+    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):///", r"\1:/", uri)
 
 
 def payload_field(name: str) -> Column:

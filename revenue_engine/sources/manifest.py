@@ -62,7 +62,9 @@ def file_manifest(spark: SparkSession, paths, max_inline_bytes: int = MAX_INLINE
     streamed = (big.repartition(F.col("file_path"))
                 .mapInPandas(_stream_sha256, "file_path string, checksum string"))
     sums = inline.unionByName(streamed)
-    return listing.join(sums, "file_path", "left")
+    empty_sha = hashlib.sha256(b"").hexdigest()
+    return (listing.join(sums, "file_path", "left")
+            .withColumn("checksum", F.when(F.col("size") == 0, F.lit(empty_sha)).otherwise(F.col("checksum"))))
 
 
 def checksum_audit(ledger: DataFrame, manifest: DataFrame, keys=("source_id", "file_date")) -> DataFrame:
