@@ -16,6 +16,36 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                "lineitem", "events", "documents", "embeddings", "pages",
                "benchmark", "labels", "conversations")
 
+# Fixed values of the fixture: base rates (USD per unit) and API rates
+# (units per USD, ZZZ zero and USD wrong on purpose).
+FIXTURE_BASE_RATES = (("USD", "1.0"), ("EUR", "1.08"), ("GBP", "1.27"), ("INR", "0.012"), ("JPY", "0.0067"))
+FIXTURE_API_RATES = (("USD", "1.5"), ("EUR", "0.9"), ("GBP", "0.8"), ("JPY", "150.0"), ("ZZZ", "0.0"))
+_RATE_DAYS = "(select distinct cast(o_orderdate as date) as rate_date from orders)"
+
+
+def _fx_rates_sql() -> str:
+    """Every order day except the 29th × the base currencies (a UNION ALL per
+    currency rather than a cross join with a VALUES list; same rows)."""
+    branches = "\n  union all ".join(
+        f"select '{c}' as currency, cast({b} as double) as base, rate_date from {_RATE_DAYS} d"
+        for c, b in FIXTURE_BASE_RATES)
+    return f"""
+select currency, rate_date, base * (1 + cast(day(rate_date) as double) / 1000) as rate_to_usd
+from ({branches}) x
+where day(rate_date) <> 29"""
+
+
+def _fx_rate_api_sql() -> str:
+    """Two fetches: the first for every order day, the second for days 1-10."""
+    branches = "\n  union all ".join(
+        f"select {f} as fetch_seq, rate_date, '{c}' as currency, cast({r} as double) as api_rate from {_RATE_DAYS} d"
+        + ("" if f == 1 else " where day(rate_date) <= 10")
+        for f in (1, 2) for c, r in FIXTURE_API_RATES)
+    return f"""
+select fetch_seq, rate_date, currency, api_rate * (1 + cast(fetch_seq as double) / 100) as api_rate
+from ({branches}) x"""
+
+
 FX_SQL: dict[str, str] = {
     "fx_sources": """
 select concat('src-', lpad(cast(n_nationkey as string), 2, '0')) as source_id,
@@ -47,19 +77,8 @@ select o_orderkey,
             when 4 then 'JPY' when 5 then '' else 'XXX' end as currency_s,
        o_orderpriority as product
 from orders join customer on o_custkey = c_custkey""",
-    "fx_rates": """
-select currency, rate_date, base * (1 + cast(day(rate_date) as double) / 1000) as rate_to_usd
-from (select distinct cast(o_orderdate as date) as rate_date from orders) d
-cross join (values ('USD', cast(1.0 as double)), ('EUR', cast(1.08 as double)), ('GBP', cast(1.27 as double)),
-                   ('INR', cast(0.012 as double)), ('JPY', cast(0.0067 as double))) v(currency, base)
-where day(rate_date) <> 29""",
-    "fx_rate_api": """
-select f.fetch_seq, d.rate_date, v.currency, v.api_rate * (1 + cast(f.fetch_seq as double) / 100) as api_rate
-from (select distinct cast(o_orderdate as date) as rate_date from orders) d
-cross join (values ('USD', cast(1.5 as double)), ('EUR', cast(0.9 as double)), ('GBP', cast(0.8 as double)),
-                   ('JPY', cast(150.0 as double)), ('ZZZ', cast(0.0 as double))) v(currency, api_rate)
-cross join (values (1), (2)) f(fetch_seq)
-where f.fetch_seq = 1 or day(d.rate_date) <= 10""",
+    "fx_rates": _fx_rates_sql(),
+    "fx_rate_api": _fx_rate_api_sql(),
     "fx_files": """
 select concat(source_id, '/', cast(file_date as string)) as file_id, source_id, file_date,
        case h % 10 when 6 then 'failed' when 7 then 'processing' when 8 then 'downloaded' when 9 then 'downloaded' else 'completed' end as status,

@@ -9,10 +9,14 @@ BASE_CURRENCY = "USD"
 
 
 def invert_rates(api_rows: DataFrame, keys=("fetch_seq",)) -> DataFrame:
-    """``rate_to_usd = 1 / api_rate``; zero rates are skipped, negatives pass."""
+    """``rate_to_usd = 1 / api_rate``; zero rates are skipped, negatives pass.
+
+    ``try_divide`` keeps the division safe wherever the optimizer places it
+    relative to the filter (ANSI mode raises on a zero divisor).
+    """
     return (api_rows.where(F.col("api_rate") != 0)
             .select(*keys, "rate_date", "currency",
-                    (F.lit(1.0) / F.col("api_rate")).alias("rate_to_usd")))
+                    F.try_divide(F.lit(1.0), F.col("api_rate")).alias("rate_to_usd")))
 
 
 def incoming_rates(api_rows: DataFrame, seq_col: str = "fetch_seq") -> DataFrame:
