@@ -199,3 +199,24 @@ def constraint_violations(sources: DataFrame, files: DataFrame, rates: DataFrame
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def throughput(events: DataFrame, stats: DataFrame) -> DataFrame:
+    """Per file, processing time and rows per second.
+
+    ``events`` carries ``file_id, status, at`` (the time each status was
+    recorded); ``stats`` carries ``file_id, total_rows, skipped_rows``
+    (``operators.convert.file_stats``). Time runs from the last
+    ``processing`` event to the first ``completed`` or ``failed`` after it.
+    """
+    start = (events.where(F.col("status") == PROCESSING)
+             .groupBy("file_id").agg(F.max("at").alias("started_at")))
+    ends = events.where(F.col("status").isin(COMPLETED, FAILED)).select("file_id", F.col("at").alias("_end"))
+    finished = (start.join(ends, "file_id").where(F.col("_end") >= F.col("started_at"))
+                .groupBy("file_id", "started_at").agg(F.min("_end").alias("finished_at")))
+    secs = F.unix_micros(F.col("finished_at").cast("timestamp")) - F.unix_micros(F.col("started_at").cast("timestamp"))
+    rows = F.col("total_rows") + F.col("skipped_rows")
+    return (finished.join(stats, "file_id")
+            .select("file_id", "started_at", "finished_at", (secs / 1e6).alias("seconds"),
+                    rows.alias("rows"),
+                    F.when(secs > 0, rows / (secs / 1e6)).alias("rows_per_sec")))

@@ -51,3 +51,16 @@ def test_global_row_number_matches_window(spark):
     ref = df.withColumn("position", F.row_number().over(Window.orderBy("k", "id")))
     assert ours.exceptAll(ref.select(*ours.columns)).count() == 0
     assert ours.count() == 5000
+
+
+def test_throughput(spark):
+    ev = spark.createDataFrame([
+        ("f1", "downloaded", dt.datetime(2026, 2, 15, 10, 0, 0)),
+        ("f1", "processing", dt.datetime(2026, 2, 15, 10, 0, 0)),
+        ("f1", "completed", dt.datetime(2026, 2, 15, 10, 0, 2)),
+        ("f2", "processing", dt.datetime(2026, 2, 15, 10, 0, 0)),  # still running: no row
+    ], "file_id string, status string, at timestamp")
+    stats = spark.createDataFrame([("f1", 15000, 5000), ("f2", 1, 0)],
+                                  "file_id string, total_rows long, skipped_rows long")
+    out = lg.throughput(ev, stats).collect()
+    assert [(r.file_id, r.seconds, r.rows, r.rows_per_sec) for r in out] == [("f1", 2.0, 20000, 10000.0)]
