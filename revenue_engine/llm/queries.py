@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revenue_engine.llm import mixing, packing, simhash, url_filter
+from revenue_engine.llm import mixing, packing, simhash, toxicity, url_filter
 from revenue_engine.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,13 @@ def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, toxicity.training_labels(table(spark, sf_dir, "labels")))
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    return toxicity.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
