@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revenue_engine.llm import mixing, packing, simhash, toxicity, url_filter
+from revenue_engine.llm import mixing, packing, pii, simhash, toxicity, url_filter
 from revenue_engine.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     return toxicity.score(docs, model).select(
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans and terms that reveal them."""
+    found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2("base", 256).alias("base_sha256"), "spans")
