@@ -2,8 +2,8 @@
 
 Base spans come from patterns (email, ip, card, phone). Their values are the
 protected entities. The corpus then tells how strongly a term near an entity
-reveals it: with ``N`` distinct texts, the entity in ``N(e)`` of them, the term
-in ``N(t)`` and both close together in ``N(t, e)``, the information about the
+reveals it: with ``N`` documents, the entity in ``N(e)`` of them, the term in
+``N(t)`` and both close together in ``N(t, e)``, the information about the
 entity that is left once the term is known is
 
     IC(e) - PMI(t, e) = -log2(N(t, e) / N(t))  bits.
@@ -13,8 +13,8 @@ least ``MIN_TEXTS`` texts exceeds the disclosure threshold; wherever it stands
 in the entity's window it becomes a span of kind ``term``. Sanitising replaces
 base spans by their kind and removes terms.
 
-All counts are over distinct texts, so copies do not count as evidence, and
-over the whole table.
+Counts are over all documents; the texts that show term and entity together
+must differ, so copies alone are no evidence.
 
 Defined results: a null text is empty and has no spans; very long texts are
 read whole; repeated rows get equal results; a failing match is dropped and
@@ -29,6 +29,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,7 +110,7 @@ def _window_terms(text: str, spans: list) -> list[tuple[str, list]]:
     return out
 
 
-_BASE_SCHEMA = ("doc_id long, tkey string, n_email long, n_ip long, n_card long, n_phone long, base string, "
+_BASE_SCHEMA = ("rid long, doc_id long, tkey string, n_email long, n_ip long, n_card long, n_phone long, base string, "
                 "near array<struct<e: string, w: array<struct<t: string, s: long, e: long>>>>")
 
 
@@ -117,14 +118,16 @@ def base_table(docs: DataFrame) -> DataFrame:
     """Stored table: base spans of each row, and for each entity the words of its window."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rid = TaskContext.get().partitionId() << 33
         for b in batches:
             rows = []
             for doc_id, text, key in zip(b["doc_id"], b["text"], b["tkey"]):
+                rid += 1
                 spans = base_spans(text or "")
                 n = [sum(k == i for k, _, _ in spans) for i in range(len(KINDS))]
-                rows.append((doc_id, key, *n, ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans),
+                rows.append((rid, doc_id, key, *n, ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans),
                              [{"e": e, "w": w} for e, w in _window_terms(text, spans)] if spans else []))
-            yield pd.DataFrame(rows, columns=["doc_id", "tkey", *(f"n_{k}" for k in KINDS), "base", "near"]) \
+            yield pd.DataFrame(rows, columns=["rid", "doc_id", "tkey", *(f"n_{k}" for k in KINDS), "base", "near"]) \
                 .astype({"doc_id": "Int64"})
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -135,18 +138,20 @@ def base_table(docs: DataFrame) -> DataFrame:
 def disclosing_terms(docs: DataFrame, base: DataFrame, min_texts: int = MIN_TEXTS,
                      residual_bits: float = RESIDUAL_BITS) -> DataFrame:
     """(e, t, residual): terms that leave at most ``residual_bits`` about the entity."""
-    near = base.where(F.size("near") > 0).select("tkey", F.explode("near").alias("x"))
-    shared = near.select("tkey", F.col("x.e").alias("e")).distinct().groupBy("e").count() \
-        .where(F.col("count") >= min_texts).select("e")
-    joint = stored(near.select("tkey", F.col("x.e").alias("e"), F.explode("x.w.t").alias("t")).join(shared, "e")
-                   .distinct().groupBy("e", "t").agg(F.count(F.lit(1)).alias("n_both"))
-                   .where(F.col("n_both") >= min_texts), "pii-joint")
+    near = (base.where(F.size("near") > 0).select("rid", "tkey", F.explode("near").alias("x"))
+            .select("rid", "tkey", F.col("x.e").alias("e"), F.explode("x.w.t").alias("t")).distinct())
+    # Documents with the term beside any entity: a lower bound of N(t), which spares common words the count.
+    least = near.select("rid", "t").distinct().groupBy("t").agg(F.count(F.lit(1)).alias("n_near"))
+    joint = stored(near.groupBy("e", "t", "tkey").agg(F.count(F.lit(1)).alias("n"))
+                   .groupBy("e", "t").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts"))
+                   .where(F.col("texts") >= min_texts).join(least, "t")
+                   .where(F.col("n_both") >= F.col("n_near") * 2.0 ** -residual_bits)
+                   .select("e", "t", "n_both"), "pii-joint")
     terms = joint.select("t").distinct()
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    words = F.array_distinct(F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0)))
-    seen = (docs.select(F.sha2(text, 256).alias("tkey"), F.explode(words).alias("t")).join(terms, "t")
-            .distinct().groupBy("t").agg(F.count(F.lit(1)).alias("n_term")))
-    if joint.isEmpty():  # no entity recurs: the texts need not be read again
+    words = F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("text").cast("string")), F.lit(WORD), F.lit(0)))
+    seen = (docs.select(F.explode(words).alias("t")).join(terms, "t")
+            .groupBy("t").agg(F.count(F.lit(1)).alias("n_term")))
+    if joint.isEmpty():  # nothing to weigh: the texts need not be read again
         seen = joint.select("t", F.col("n_both").alias("n_term"))
     residual = -F.log2(F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0)))
     return joint.join(seen, "t").withColumn("residual", residual).where(F.col("residual") <= residual_bits) \
@@ -167,7 +172,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
                  ":", F.lit(TERM), x["s"].cast("string"), x["end"].cast("string"))), ",").alias("terms")))
     spans = F.when(F.col("terms").isNull(), F.col("base")).when(F.col("base") == "", F.col("terms")) \
         .otherwise(F.concat_ws(",", "base", "terms"))
-    return base.drop("near").join(extra, "tkey", "left").withColumn("spans", spans).drop("terms")
+    return base.drop("near", "rid").join(extra, "tkey", "left").withColumn("spans", spans).drop("terms")
 
 
 def sanitised_text(text: str | None, spans: str) -> str:
