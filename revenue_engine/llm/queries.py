@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revenue_engine.llm import mixing, packing, pii, simhash, toxicity, url_filter
+from revenue_engine.llm import mixing, packing, pii, pivot_search, simhash, toxicity, url_filter
 from revenue_engine.llm.common import table
+from revenue_engine.llm.vectors import clean_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +87,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
                         F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query
+def op2_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five highest integer inner products of every 50th vector, against all vectors."""
+    rows = clean_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), allow_zero=True)
+    rows = rows.select("id", F.transform("v", lambda x: F.floor(x * 256.0).cast("long")).alias("v"))
+    return pivot_search.top_k(rows, rows.where("id % 50 = 0"), 5)
