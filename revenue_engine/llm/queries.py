@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revenue_engine.llm import mixing, packing, pii, pivot_search, simhash, toxicity, url_filter
+from revenue_engine.llm import mixing, nn_descent, packing, pii, pivot_search, simhash, toxicity, url_filter
 from revenue_engine.llm.common import table
 from revenue_engine.llm.vectors import clean_vectors
 
@@ -95,3 +95,10 @@ def op2_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clean_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), allow_zero=True)
     rows = rows.select("id", F.transform("v", lambda x: F.floor(x * 256.0).cast("long")).alias("v"))
     return pivot_search.top_k(rows, rows.where("id % 50 = 0"), 5)
+
+
+@query
+def op1_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty nearest found, by inner product, of every 20th vector."""
+    rows = clean_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), allow_zero=False)
+    return nn_descent.nearest(rows, F.col("id") % 20 == 0, 20)
