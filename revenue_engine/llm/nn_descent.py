@@ -76,7 +76,7 @@ def build_graph(vectors: DataFrame, dim: int, m2: float) -> DataFrame:
         np.fill_diagonal(s, -np.inf)
         rows = []
         for i in range(len(ids)):
-            o = _top(ids, s[i], min(LINKS, len(ids) - 1))
+            o = np.argpartition(-s[i], LINKS)[:LINKS] if len(ids) > LINKS + 1 else np.flatnonzero(s[i] > -np.inf)
             rows.append((ids[i], ids[o].tolist(), s[i][o].tolist()))
         return pd.DataFrame(rows, columns=["node", "links", "sims"])
 
@@ -146,8 +146,13 @@ def _round(graph: DataFrame, turn: int) -> tuple[DataFrame, int]:
         order = np.argsort(ids)
         ids = ids[order]
         v = np.frombuffer(b"".join(vecs["v"]), "<f4").reshape(len(vecs), -1)[order]
-        floor, known = vecs["worst"].to_numpy()[order], [set(x) for x in vecs["links"].to_numpy()[order]]
-        offers: dict[int, dict] = {}
+        floor, n = vecs["worst"].to_numpy()[order], len(ids)
+        links_of = vecs["links"].to_numpy()[order]
+        owner = np.repeat(np.arange(n), [len(x) for x in links_of])
+        linked = np.concatenate([np.asarray(x, np.int64) for x in links_of])
+        at = np.minimum(np.searchsorted(ids, linked), n - 1)
+        known = (owner * n + at)[ids[at] == linked]  # pairs that are links already
+        pairs, values = [], []
         for hood_ids in hoods["hood"]:
             at = np.searchsorted(ids, np.asarray(hood_ids, np.int64))
             if len(at) < 2:
@@ -155,22 +160,24 @@ def _round(graph: DataFrame, turn: int) -> tuple[DataFrame, int]:
             s = v[at] @ v[at].T
             np.fill_diagonal(s, -np.inf)
             s[s <= floor[at][:, None]] = -np.inf
-            for i in np.flatnonzero((s > -np.inf).any(axis=1)):
-                row, a = s[i], at[i]
-                js = np.flatnonzero(row > -np.inf)
-                if len(js) > OFFERS:
-                    js = js[np.argpartition(-row[js], OFFERS)[:OFFERS]]
-                mine = offers.setdefault(a, {})
-                for j in js:
-                    w = int(ids[at[j]])
-                    if w not in known[a]:
-                        mine[w] = float(row[j])
-        rows = []
-        for a, o in offers.items():
-            if o:
-                top = sorted(o.items(), key=lambda x: (-x[1], x[0]))[:LINKS]
-                rows.append((int(ids[a]), [w for w, _ in top], [x for _, x in top]))
-        return pd.DataFrame(rows, columns=["node", "links", "sims"])
+            cols = np.argpartition(-s, min(OFFERS, len(at) - 1), axis=1)[:, :OFFERS]
+            best = np.take_along_axis(s, cols, axis=1)
+            i, j = np.nonzero(best > -np.inf)
+            pairs.append(at[i] * n + at[cols[i, j]])
+            values.append(best[i, j])
+        if not pairs:
+            pairs, values = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
+        pair, first_at = np.unique(np.concatenate(pairs), return_index=True)
+        value = np.concatenate(values)[first_at]
+        fresh = ~np.isin(pair, known)
+        pair, value = pair[fresh], value[fresh]
+        rank = np.lexsort((pair % n, -value, pair // n))
+        to, frm, value = ids[pair[rank] % n], pair[rank] // n, value[rank]
+        heads = np.flatnonzero(np.diff(frm, prepend=-1))
+        tails = np.append(heads[1:], len(frm))
+        rows = [(ids[frm[x]], to[x:min(x + LINKS, y)].tolist(), value[x:min(x + LINKS, y)].tolist())
+                for x, y in zip(heads, tails)]
+        return pd.DataFrame(rows, columns=["node", "links", "sims"], dtype=None if rows else object)
 
     offers = hood.groupBy("grp").cogroup(vectors.groupBy("home")).applyInPandas(
         compare, "node long, links array<long>, sims array<float>")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revenue_engine.llm import mixing, nn_descent, packing, pii, pivot_search, simhash, toxicity, url_filter
+from revenue_engine.llm import line_dedup, mixing, nn_descent, packing, pii, pivot_search, simhash, toxicity, url_filter
 from revenue_engine.llm.common import table
 from revenue_engine.llm.vectors import clean_vectors
 
@@ -102,3 +102,14 @@ def op1_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twenty nearest found, by inner product, of every 20th vector."""
     rows = clean_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), allow_zero=False)
     return nn_descent.nearest(rows, F.col("id") % 20 == 0, 20)
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, and the numbers of those that repeat an earlier line at Jaccard 0.8 of 5-word shingles."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    gone = line_dedup.removed_lines(docs).withColumnRenamed("id", "doc_id")
+    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")
+    return docs.select("doc_id", n_lines.alias("n_lines")).join(gone, "doc_id", "left").select(
+        "doc_id", "n_lines", F.coalesce(F.size("removed").cast("long"), F.lit(0).cast("long")).alias("n_removed"),
+        F.coalesce(F.array_join(F.transform("removed", lambda x: x.cast("string")), ","), F.lit("")).alias("removed_lines"))
