@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revenue_engine.llm import line_dedup, mixing, nn_descent, packing, pii, pivot_search, simhash, toxicity, url_filter
+from revenue_engine.llm import line_dedup, mixing, nn_descent, packing, pii, pivot_search, simhash, suffix_dedup, toxicity, url_filter
 from revenue_engine.llm.common import table
 from revenue_engine.llm.vectors import clean_vectors
 
@@ -113,3 +113,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", n_lines.alias("n_lines")).join(gone, "doc_id", "left").select(
         "doc_id", "n_lines", F.coalesce(F.size("removed").cast("long"), F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce(F.array_join(F.transform("removed", lambda x: x.cast("string")), ","), F.lit("")).alias("removed_lines"))
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that start earlier too."""
+    out = suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
