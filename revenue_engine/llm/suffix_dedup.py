@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revenue_engine.llm.common import stored
+from revenue_engine.llm.common import drop_stored, stored
 
 LENGTH = 100
 GRAM = 24
@@ -141,7 +141,9 @@ def _sampled(docs: DataFrame) -> DataFrame:
     sample = stored(docs.select(_id(docs), _text(docs)).mapInPandas(run, "name long, id long, pos int, lo int, hi int"),
                     "suffix-sample")
     twice = sample.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
-    return _released(sample.join(twice, "name"), "suffix-repeated")
+    out = _released(sample.join(twice, "name"), "suffix-repeated")
+    drop_stored(sample)
+    return out
 
 
 def _surroundings(docs: DataFrame, sample: DataFrame) -> DataFrame:
@@ -165,8 +167,10 @@ def _surroundings(docs: DataFrame, sample: DataFrame) -> DataFrame:
 
     spots = sample.groupBy("id").agg(F.collect_list(F.struct("name", "pos", "lo", "hi")).alias("spots"))
     texts = docs.select(_id(docs), _text(docs)).dropDuplicates(["id"])
-    return _released(texts.join(spots, "id").mapInPandas(
+    out = _released(texts.join(spots, "id").mapInPandas(
         run, "name long, id long, pos int, lo int, hi int, c1 long, c2 long, bytes binary"), "suffix-places")
+    drop_stored(sample)
+    return out
 
 
 _SPOT = ["name", "id", "pos", "lo", "hi", "c1", "c2", "bytes"]
@@ -214,14 +218,15 @@ def _runs(ids: np.ndarray, start: np.ndarray) -> pd.DataFrame:
 
 
 def later_starts(docs: DataFrame) -> DataFrame:
-    """(id, lo, hi): runs of starts of ``LENGTH``-byte strings that also start earlier."""
+    """Stored (id, lo, hi): runs of starts of ``LENGTH``-byte strings that also start earlier."""
     places = _surroundings(docs, _sampled(docs))
     place = F.struct("id", "lo", "hi", "pos")
-    classes = stored(places.groupBy("c1", "c2").agg(F.min(place).alias("place"), F.min("name").alias("name"),
+    classes = _released(places.groupBy("c1", "c2").agg(F.min(place).alias("place"), F.min("name").alias("name"),
                                                     F.min("bytes").alias("bytes"))
                      .select("c1", "c2", "name", "bytes", "place.*"), "suffix-classes")
-    copies = (places.join(classes.select("c1", "c2", F.struct("id", "lo", "hi", "pos").alias("head")), ["c1", "c2"])
-              .where(place != F.col("head")).select("id", F.col("lo").cast("long"), F.col("hi").cast("long")))
+    copies = stored(places.drop("bytes").join(classes.select("c1", "c2", F.struct("id", "lo", "hi", "pos").alias("head")), ["c1", "c2"])
+              .where(place != F.col("head")).select("id", F.col("lo").cast("long"), F.col("hi").cast("long")), "suffix-copies")
+    drop_stored(places)
     sizes = classes.groupBy("name").agg(F.count(F.lit(1)).alias("rows"))
     large = stored(sizes.where(F.col("rows") > BUCKET_ROWS).select("name"), "suffix-large")
     total = classes.count()
@@ -231,7 +236,10 @@ def later_starts(docs: DataFrame) -> DataFrame:
                .groupBy("block").applyInPandas(lambda b: _later(b), "id long, lo long, hi long"))
     if not large.isEmpty():
         sorted_ = sorted_.unionByName(_spread(classes.join(large, "name", "left_semi")))
-    return copies.unionByName(sorted_)
+    out = _released(copies.unionByName(sorted_), "suffix-runs")
+    drop_stored(copies)
+    drop_stored(classes)
+    return out
 
 
 def _spread(classes: DataFrame) -> DataFrame:
@@ -255,7 +263,7 @@ def _spread(classes: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, kept: binary, n_bytes, n_removed, n_spans) for every row of ``docs``."""
-    runs = stored(later_starts(docs), "suffix-runs").groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+    runs = later_starts(docs).groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
