@@ -9,18 +9,18 @@ from pyspark.sql import functions as F
 # wins when a value fits both dd/MM/yyyy and MM/dd/yyyy. All fields are
 # zero-padded and nothing is trimmed.
 DATE_LAYOUTS = (
-    ("yyyy-MM-dd", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
-    ("dd/MM/yyyy", r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"),
-    ("MM/dd/yyyy", r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"),
-    ("yyyy/MM/dd", r"^[0-9]{4}/[0-9]{2}/[0-9]{2}$"),
-    ("dd-MM-yyyy", r"^[0-9]{2}-[0-9]{2}-[0-9]{4}$"),
+    ("yyyy-MM-dd", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"),
+    ("dd/MM/yyyy", r"^[0-9]{2}/[0-9]{2}/[0-9]{4}\z"),
+    ("MM/dd/yyyy", r"^[0-9]{2}/[0-9]{2}/[0-9]{4}\z"),
+    ("yyyy/MM/dd", r"^[0-9]{4}/[0-9]{2}/[0-9]{2}\z"),
+    ("dd-MM-yyyy", r"^[0-9]{2}-[0-9]{2}-[0-9]{4}\z"),
 )
 
 # Decimal float text: optional sign, digits with optional point (or a
 # leading point), optional exponent. No blanks, separators, hex or words.
 # Deviation, recorded on purpose: NaN / Inf spellings and hex floats are
 # rejected, and so is any value that overflows a double.
-AMOUNT_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+AMOUNT_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 
 # Reject reasons in the order the checks run.
 REASON_DATE = "invalid_date"

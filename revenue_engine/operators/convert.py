@@ -35,8 +35,7 @@ def classify_rows(raw: DataFrame, rates: DataFrame, date_col="date_s", revenue_c
                           F.col("rate_date").alias("_r_date"),
                           F.col("rate_to_usd").cast("double").alias("rate_to_usd"))
     cond = [parsed["currency"] == lookup["_r_currency"], parsed["revenue_date"] == lookup["_r_date"]]
-    joined = lookup_join(parsed, lookup, cond, "left", max_broadcast_rows,
-                         needs_lookup=F.col("_pre_reason").isNull())
+    joined = lookup_join(parsed, lookup, cond, "left", max_broadcast_rows)
     return (joined
             .withColumn("reason", F.coalesce(F.col("_pre_reason"),
                                              F.when(F.col("rate_to_usd").isNull(), F.lit(REASON_RATE))))

@@ -20,19 +20,11 @@ def fits_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left",
-                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, needs_lookup=None) -> DataFrame:
+                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Join a large fact side to a lookup side.
 
     When the lookup side passes the size check it is broadcast, so the fact
-    side is never shuffled. Otherwise it is a shuffle join; for a left join,
-    rows that cannot match (``needs_lookup`` false, e.g. NULL keys) bypass the
-    shuffle so they do not pile up in the partition of the NULL key.
+    side is never shuffled. Otherwise it is a shuffle join, where AQE splits
+    skewed keys. Both give the same rows.
     """
-    if fits_broadcast(small, max_rows):
-        return big.join(F.broadcast(small), on, how)
-    if needs_lookup is None or how != "left":
-        return big.join(small, on, how)
-    probe = big.where(needs_lookup)
-    rest = big.where(~needs_lookup | needs_lookup.isNull())
-    joined = probe.join(small, on, how)
-    return joined.unionByName(rest, allowMissingColumns=True)
+    return big.join(F.broadcast(small) if fits_broadcast(small, max_rows) else small, on, how)

@@ -61,19 +61,21 @@ def insert_absent(current: DataFrame, seed: DataFrame, keys=("currency", "rate_d
     """L3: ``ON CONFLICT DO NOTHING`` — seed rows whose key is absent are appended.
 
     Seed rows that repeat a key among themselves keep the first by ``seq``
-    when present, else any one (the reference seeds distinct keys).
+    when present, else the smallest.
     """
     cols = current.columns
     new = seed.join(current.select(*keys), list(keys), "left_anti")
-    if "seq" in seed.columns:
-        new = (new.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in cols if c not in keys]), "seq").alias("_v"))
-               .select(*keys, "_v.*"))
+    rest = F.struct(*[c for c in cols if c not in keys])
+    one = F.min_by(rest, "seq") if "seq" in seed.columns else F.min(rest)
+    new = new.groupBy(*keys).agg(one.alias("_v")).select(*keys, "_v.*")
     return current.unionByName(new.select(*cols))
 
 
 def rate_load_stats(api_rows: DataFrame, keys=("fetch_seq", "rate_date")) -> DataFrame:
     """A3: per fetch, rates received and rows upserted (non-zero rates plus the base row)."""
+    # A payload without rates has one row with a null currency; a null rate reads as 0.
+    rate = F.coalesce("api_rate", F.lit(0.0))
     return (api_rows.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("rates_received"),
-                 (F.count_if(F.col("api_rate") != 0) + F.lit(1)).alias("rates_upserted"),
-                 F.count_if(F.col("api_rate") == 0).alias("rates_skipped")))
+            .agg(F.count("currency").alias("rates_received"),
+                 (F.count_if(rate != 0) + F.lit(1)).alias("rates_upserted"),
+                 F.count_if(F.col("currency").isNotNull() & (rate == 0)).alias("rates_skipped")))

@@ -48,23 +48,17 @@ def ensure_session_settings(spark: SparkSession) -> None:
         spark.conf.set(k, BASE_CONF[k])
 
 
-# Folders listed on the driver before listing becomes a distributed job.
-LISTING_DRIVER_THRESHOLD = 4096
-
-
 @contextlib.contextmanager
 def listing_parallelism(spark: SparkSession):
-    """Size Spark's file listing to the tree and the cluster.
+    """Size Spark's file listing job to the cluster.
 
     By default more than 32 folders are listed by a Spark job with up to
     10,000 tasks — one per folder of a per-source, per-day landing tree,
-    which costs far more than the listing itself. Up to
-    ``LISTING_DRIVER_THRESHOLD`` folders are listed on the driver; larger
-    trees are listed by a job with two tasks per core. Listing happens
-    when the DataFrame is created; the previous settings are restored after.
+    which costs far more than the listing itself. Here the job has two tasks
+    per core. Listing happens when the DataFrame is created; the previous
+    setting is restored after.
     """
     conf = {
-        "spark.sql.sources.parallelPartitionDiscovery.threshold": str(LISTING_DRIVER_THRESHOLD),
         "spark.sql.sources.parallelPartitionDiscovery.parallelism":
             str(max(8, 2 * spark.sparkContext.defaultParallelism)),
     }
@@ -84,8 +78,9 @@ def listing_parallelism(spark: SparkSession):
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local runs and tests) a
-    folder is created and registered, so reliable ``checkpoint()`` works.
+    Read from the session; where it is unset, a local run creates a folder
+    and registers it, so reliable ``checkpoint()`` works, and any other master
+    is an error, since its executors share no local folder.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
@@ -93,6 +88,8 @@ def shared_dir(spark: SparkSession) -> str:
         return cur
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="revenue-engine-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

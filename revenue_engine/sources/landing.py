@@ -7,15 +7,18 @@ from 1 (the header) counting records, not blank lines; a malformed record
 (stray or unbalanced quote) fails the whole file, as does a header without
 every required column or a file without any record.
 
-Plan: two passes over the text and no shuffle of the lines.
+Plan: the text is read once, into a staged table of (file, block, ordinal,
+line); both passes work on that table, so neither the split layout of a later
+read nor a file that lands meanwhile can change what they see.
 
 * pass 1 aggregates one row per input split ``(file, block)``: its record
   count, first record and first malformed record. A window over that small
   table (one row per block, ordered by offset within the file) yields each
   block's line offset, the file's header and the file's verdict.
-* pass 2 re-reads the splits and joins every line to its block row —
-  broadcast when the checked block count allows, otherwise a shuffle join
-  on ``(file, block)`` whose keys are uniform in size by construction.
+* pass 2 joins every staged line to its block row — broadcast when the
+  checked block count allows, otherwise a shuffle join on ``(file, block)``
+  whose keys are uniform in size by construction. A line without a block row
+  stops the job.
 
 A file that holds a third of all rows is therefore split across as many
 tasks as it has blocks; no step gathers one file into one task.
@@ -60,20 +63,29 @@ def csv_fields(line) -> Column:
     ).otherwise(t))
 
 
-def header_map(header: Column, fields: Column) -> Column:
-    """name → field, last header position wins, only positions inside the row."""
+def last_positions(header: Column) -> Column:
+    """(name, position) of each header name, at its last position; computed once per block row."""
     e = F.transform(header, lambda k, i: F.struct(k.alias("k"), i.alias("i")))
-    keep = F.filter(e, lambda z: (z["i"] < F.size(fields))
-                    & ~F.exists(e, lambda y: (y["k"] == z["k"]) & (y["i"] > z["i"])))
+    return F.filter(e, lambda z: ~F.exists(e, lambda y: (y["k"] == z["k"]) & (y["i"] > z["i"])))
+
+
+def header_map(columns: Column, fields: Column) -> Column:
+    """name → field for the positions inside the row."""
+    keep = F.filter(columns, lambda z: z["i"] < F.size(fields))
     return F.map_from_entries(F.transform(keep, lambda z: F.struct(z["k"], F.get(fields, z["i"]))))
 
 
+def decoded_path(path: Column) -> Column:
+    """File metadata percent-encodes paths; this is the path as it is."""
+    return F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def read_lines(spark: SparkSession, paths) -> DataFrame:
     """Non-blank records with file, split offset and a split-local ordinal."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     with listing_parallelism(spark):
         text = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(paths)
-    raw = (text.select(F.col("value"), F.col("_metadata.file_path").alias("file_path"),
+    raw = (text.select(F.col("value"), decoded_path(F.col("_metadata.file_path")).alias("file_path"),
                    F.col("_metadata.file_block_start").alias("block_start")))
     line = F.when(F.col("value").endswith("\r"), F.expr("substring(value, 1, length(value) - 1)")
                   ).otherwise(F.col("value"))
@@ -106,8 +118,9 @@ def block_table(lines: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
               .when(F.size(missing) > 0, F.lit(MISSING_COLUMN))
               .when(F.col("first_bad_line").isNotNull(), F.lit(MALFORMED_RECORD)))
     return (b.withColumn("header", header)
+            .withColumn("columns", last_positions(F.col("header")))
             .withColumn("fail_reason", reason)
-            .select("file_path", "block_start", "n_rec", "m0", "rec_offset", "header",
+            .select("file_path", "block_start", "n_rec", "m0", "rec_offset", "header", "columns",
                     "n_records", "first_bad_line", "fail_reason"))
 
 
@@ -143,20 +156,27 @@ def materialize_blocks(blocks: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stage_lines(lines: DataFrame) -> DataFrame:
+    """The text read once: ordinals and split offsets are fixed from here on."""
+    path = scratch_path(lines.sparkSession, "csv-lines")
+    lines.write.option("compression", "zstd").parquet(path)
+    return lines.sparkSession.read.schema(lines.schema).parquet(path)
+
+
 def number_lines(lines: DataFrame, blocks: DataFrame,
                  max_broadcast_blocks: int = MAX_BROADCAST_BLOCKS) -> DataFrame:
     """Pass 2: exact record number and file header on every line.
 
-    The split-local ordinal of pass 1 is recomputed from the same splits;
-    a line that falls outside its block's recorded range stops the job
-    instead of being numbered wrongly.
+    ``lines`` must be the rows that ``blocks`` was made of. A line without a
+    block row, or outside its block's recorded range, stops the job instead of
+    being lost or numbered wrongly.
     """
-    b = blocks.select("file_path", "block_start", "n_rec", "m0", "rec_offset", "header", "fail_reason")
+    b = blocks.select("file_path", "block_start", "n_rec", "m0", "rec_offset", "columns", "fail_reason")
     if fits_broadcast(b, max_broadcast_blocks):
         b = F.broadcast(b)
-    j = lines.join(b, ["file_path", "block_start"])
+    j = lines.join(b, ["file_path", "block_start"], "left")
     local = F.col("mid") - F.col("m0")
-    guard = F.when((local < 0) | (local >= F.col("n_rec")),
+    guard = F.when(F.col("n_rec").isNull() | (local < 0) | (local >= F.col("n_rec")),
                    F.raise_error(F.lit("split re-read does not match pass 1")))
     return (j.withColumn("line_number", F.coalesce(guard.cast("long"), F.col("rec_offset") + local + 1))
             .drop("mid", "m0", "n_rec", "rec_offset"))
@@ -169,10 +189,13 @@ def scan_landed_csv(spark: SparkSession, paths, required=REQUIRED_COLUMNS,
     Returns ``(rows, blocks)``: ``rows`` has ``file_path, line_number,
     payload map<string,string>``; ``blocks`` feeds ``file_outcomes``.
     """
-    blocks = materialize_blocks(block_table(read_lines(spark, paths), required))
-    numbered = number_lines(read_lines(spark, paths), blocks, max_broadcast_blocks)
-    rows = (numbered.where(F.col("fail_reason").isNull() & (F.col("line_number") > 1))
-            .select("file_path", "line_number", header_map(F.col("header"), csv_fields("line")).alias("payload")))
+    lines = stage_lines(read_lines(spark, paths))
+    blocks = materialize_blocks(block_table(lines, required))
+    numbered = number_lines(lines, blocks, max_broadcast_blocks)
+    # Fields are a column of their own, so that a row is parsed once and not once per header name.
+    rows = (numbered.where((F.col("line_number") > 1) & F.col("fail_reason").isNull())
+            .withColumn("fields", csv_fields("line"))
+            .select("file_path", "line_number", header_map(F.col("columns"), F.col("fields")).alias("payload")))
     return rows, blocks
 
 

@@ -37,11 +37,15 @@ def rejected_payloads(payloads: DataFrame) -> DataFrame:
     return with_payload_date(payloads).where(F.col("rate_date").isNull())
 
 
-def explode_rates(payloads: DataFrame, keys=("fetch_seq",)) -> DataFrame:
-    """One row per (payload, currency) of the valid payloads."""
+def explode_rates(payloads: DataFrame, keys=("fetch_seq",), keep_empty: bool = False) -> DataFrame:
+    """One row per (payload, currency) of the valid payloads.
+
+    With ``keep_empty`` a payload without rates gives one row with a null
+    currency, so that its base row and counters are not lost downstream.
+    """
     valid = with_payload_date(payloads).where(F.col("rate_date").isNotNull())
     return valid.select(*keys, "rate_date",
-                        F.explode("rates").alias("currency", "api_rate"))
+                        (F.explode_outer if keep_empty else F.explode)("rates").alias("currency", "api_rate"))
 
 
 def encode_payloads(api_rows: DataFrame, keys=("fetch_seq",), base: str = "USD") -> DataFrame:
