@@ -6,8 +6,8 @@ members. The graph starts from neighbours inside small groups around pivots;
 then rounds of joins compare neighbours of neighbours: each node's neighbours
 and a hashed choice of the nodes that link to it are compared with one
 another, and what beats a node's worst link replaces it. Rounds end when few
-links change. A query walks the graph from its own node, or from the members
-of its pivot group: it expands every unexpanded node of its beam, scores their
+links change. A query walks the graph from its own node and a few entry nodes:
+it expands every unexpanded node of its beam, scores their
 links on the original vectors, and stops when the beam holds no new node.
 
 Pivots are a sample of at most ``PIVOTS`` vectors by a hash of the id; every
@@ -38,6 +38,7 @@ ROUNDS = 12
 SETTLED = 0.004    # share of changed links that ends the rounds
 BEAM = 64
 QUERY_GROUP = 64
+ENTRIES = 8        # nodes every query starts from besides its own
 
 _NODE = "node long, grp long, v binary, links array<long>, sims array<float>"
 
@@ -47,9 +48,11 @@ def _top(ids: np.ndarray, sims: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -sims))[:k]
 
 
-def build_graph(vectors: DataFrame, dim: int, m2: float) -> DataFrame:
-    """Stored table (node, grp, v, links, sims): ``v`` packed 32-bit, with the added coordinate."""
-    picked = vectors.orderBy(F.xxhash64("node"), "node").limit(PIVOTS).collect()
+def build_graph(vectors: DataFrame, dim: int, m2: float) -> tuple[DataFrame, list[int]]:
+    """Stored table (node, grp, v, links, sims), ``v`` packed 32-bit with the added coordinate; and entry nodes."""
+    n = vectors.count()
+    few = max(1, min(PIVOTS, n // (GROUP // 4)))
+    picked = vectors.orderBy(F.xxhash64("node"), "node").limit(few).collect()
     centres = _lifted(padded([r["v"] for r in picked], dim), m2)
 
     def near_pivots(batches):
@@ -85,12 +88,11 @@ def build_graph(vectors: DataFrame, dim: int, m2: float) -> DataFrame:
     start = grouped(placed.withColumnRenamed("p1", "p")).select(
         "node", "grp", "v", F.array().cast("array<long>").alias("links"), F.array().cast("array<float>").alias("sims"))
     graph, _ = _merge(stored(start, "ann-start"), first)
-    n = graph.count()
     for turn in range(ROUNDS if n > 1 else 0):
         graph, changed = _round(graph, turn)
         if changed <= SETTLED * n * LINKS:
             break
-    return graph
+    return graph, [r["node"] for r in picked[:ENTRIES]]
 
 
 def _lifted(v: np.ndarray, m2: float) -> np.ndarray:
@@ -184,7 +186,7 @@ def _round(graph: DataFrame, turn: int) -> tuple[DataFrame, int]:
     return _merge(graph, offers)
 
 
-def search(graph: DataFrame, originals: DataFrame, queries: DataFrame, dim: int, k: int) -> DataFrame:
+def search(graph: DataFrame, originals: DataFrame, queries: DataFrame, entries: list[int], dim: int, k: int) -> DataFrame:
     """(q, node, score) of each query's beam; ``queries``: (q, node, v) with the node it starts from."""
     width = max(BEAM, k + 1)
     n = queries.count()
@@ -192,7 +194,7 @@ def search(graph: DataFrame, originals: DataFrame, queries: DataFrame, dim: int,
     links = stored(graph.select("node", "links"), "ann-links")
     packed = stored(originals.select("node", "v"), "ann-vectors")
     state = stored(queries.select(F.pmod(F.xxhash64("q"), F.lit(groups)).alias("qb"), "q", "v",
-                                  F.array("node").alias("front"), F.array().cast("array<long>").alias("ids"),
+                                  F.array_distinct(F.array("node", *[F.lit(e).cast("long") for e in entries])).alias("front"), F.array().cast("array<long>").alias("ids"),
                                   F.array().cast("array<double>").alias("scores"),
                                   F.array().cast("array<long>").alias("seen")), "ann-state")
     schema = "qb long, q long, v array<double>, front array<long>, ids array<long>, scores array<double>, seen array<long>"
@@ -242,11 +244,11 @@ def nearest(vectors: DataFrame, is_query, k: int) -> DataFrame:
     facts = nodes.agg(F.max(F.size("v")).alias("dim"), F.max(norm).alias("m2")).first()
     if facts["dim"] is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    graph = build_graph(nodes, facts["dim"], facts["m2"])
+    graph, entries = build_graph(nodes, facts["dim"], facts["m2"])
     asked = stored(vectors.where(is_query).select(F.col("id").alias("query_id"), "v")
                    .join(nodes.select("v", "node"), "v"), "ann-asked")
     starts = asked.select(F.col("node").alias("q"), "node", "v").dropDuplicates(["q"])
-    found = search(graph, nodes, starts, facts["dim"], k)
+    found = search(graph, nodes, starts, entries, facts["dim"], k)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (asked.select("query_id", F.col("node").alias("q")).join(found, "q")
             .join(nodes.select("node", "members"), "node")

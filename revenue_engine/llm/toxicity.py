@@ -166,7 +166,8 @@ def _counted(df: DataFrame, of) -> DataFrame:
             c: Counter = Counter()
             for t in b["text"]:
                 c.update(of(t))
-            yield pd.DataFrame({"term": list(c.keys()), "n": list(c.values())})
+            if c:
+                yield pd.DataFrame({"term": list(c.keys()), "n": list(c.values())})
 
     return df.select("text").mapInPandas(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
