@@ -251,7 +251,7 @@ def _select(toxic: dict, clean: dict, n_toxic: int, n_clean: int) -> tuple[list[
     return sorted(t[1:] for t in keep if t[0] == "w"), sorted(t[1:] for t in keep if t[0] == "s")
 
 
-def _fit(y: np.ndarray, rows: list, n_terms: int, penalty: float = 0.05, steps: int = 30) -> tuple[np.ndarray, float]:
+def _fit(y: np.ndarray, rows: list, n_terms: int, penalty: float = 0.005, steps: int = 30) -> tuple[np.ndarray, float]:
     """Logistic regression by Newton steps with a quadratic penalty on the weights."""
     x = np.zeros((len(y), n_terms + 1), np.float32)
     x[:, -1] = 1.0
