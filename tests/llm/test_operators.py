@@ -208,7 +208,7 @@ def test_pii_patterns_and_terms(spark, none):
 def test_toxicity(spark, none):
     r = random.Random(1)
     texts = [" ".join(r.choice(WORDS[:200]) for _ in range(30)) for _ in range(120)]
-    data = [(i, t + (" you grobnik" if i % 4 == 0 else "")) for i, t in enumerate(texts)]
+    data = [(i, t + (" grobnik" if i % 4 == 0 else "")) for i, t in enumerate(texts)]
     df = spark.createDataFrame(data, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(100)] + [(None, 1), (3, None)], "doc_id long, toxic int")
     model = toxicity.learn(df, labels)
