@@ -21,65 +21,97 @@ come last in order; an empty table gives an empty one; other columns pass.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revenue_engine.llm.common import ascii_lower, stored
+from revenue_engine.llm.common import drop_stored, stored
 
 WORDS = 5
 SIMILARITY = 0.8
-SKETCH = 1 << 16  # counters of the rarity sketch; its size does not depend on the data
+SKETCH_BITS = 16  # the rarity sketch has 2^16 counters; its size does not depend on the data
 LAST = (1 << 63) - 1
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(id, line, words) of every line of at least ``WORDS`` words."""
-    exploded = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
-                           F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line", "raw"))
-    words = F.filter(F.split(ascii_lower(F.col("raw")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    return exploded.select("id", "line", words.alias("words")).where(F.size("words") >= WORDS)
+    """(id, line, hashes) of every line long enough for ``WORDS`` words: hashes of its words.
 
+    The comparison works on the UTF-8 bytes read as Latin-1 and lower-cased: A-Z change,
+    and other characters stay different from each other, as the number of continuation
+    bytes tells a shifted lead byte from the one it equals.
+    """
+    folded = F.lower(F.decode(F.col("text").cast("string").cast("binary"), "ISO-8859-1"))
+    for space in "\t\x0b\x0c\r":
+        folded = F.replace(folded, F.lit(space), F.lit(" "))
+    raw = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
+                      F.posexplode_outer(F.split(folded, "\n")).alias("line", "raw")).where(F.length("raw") >= 2 * WORDS - 1)
+    words = F.array_remove(F.split("raw", " "), "")
+    return raw.select("id", "line", F.transform(words, lambda w: F.xxhash64(w)).alias("hashes"))
 
-def _tokens():
-    at = F.sequence(F.lit(0), F.size("words") - WORDS)
-    return F.array_distinct(F.transform(at, lambda i: F.xxhash64(*[F.get(F.col("words"), i + k) for k in range(WORDS)])))
 
+def _keys():
+    """Two hashes that name a line's words, as two columns."""
+    return F.xxhash64("hashes").alias("k1"), F.xxhash64(F.lit(7), F.col("hashes")).alias("k2")
 
-def _sketch(lines: DataFrame) -> DataFrame:
-    """One row: the frequency class of every counter of the sketch."""
-    counts = (lines.select(F.explode(_tokens()).alias("t")).groupBy(F.pmod("t", F.lit(SKETCH)).alias("b"))
+
+def _tokenized(lines: DataFrame, *columns) -> DataFrame:
+    """``columns`` of the lines and ``tokens``: the distinct shingles, none for lines of too few words."""
+    def shingle(h, i):
+        for k in range(1, WORDS):
+            h = h.bitwiseXOR(F.shiftleft(F.get(F.col("hashes"), i + k), 3 * k))
+        return h
+
+    starts = F.slice("hashes", 1, F.size("hashes") - (WORDS - 1))
+    tokens = F.when(F.size("hashes") >= WORDS, F.array_distinct(F.transform(starts, shingle)))
+    return lines.select(*columns, F.coalesce(tokens, F.array().cast("array<long>")).alias("tokens"))
+
+
+def _counter(token):
+    # The high bits depend on all words of the shingle.
+    return F.shiftrightunsigned(token, 64 - SKETCH_BITS)
+
+
+def _sketch(lines: DataFrame) -> Column:
+    """The frequency class of every counter of the sketch, as one constant array.
+
+    A joined row would be copied for every line; the 2^16 counters, however large the
+    data, pass through the driver instead.
+    """
+    # explode() would put a filter on the size of the tokens below the projections, and shingle every line again there.
+    counts = (_tokenized(lines).select(F.explode_outer("tokens").alias("t")).where("t is not null").groupBy(_counter(F.col("t")).alias("b"))
               .agg(F.count(F.lit(1)).alias("n")))
-    every = lines.sparkSession.range(SKETCH).withColumnRenamed("id", "b").join(counts, "b", "left")
-    level = F.ceil(F.log2(F.coalesce(F.col("n"), F.lit(0)) + 1.0)).cast("long")
-    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("b", level.alias("c")))),
-                                 lambda x: x["c"]).alias("classes")).withColumn("one", F.lit(1))
+    levels = dict(counts.select("b", F.ceil(F.log2(F.col("n") + 1.0))).collect())
+    text = ",".join(str(levels.get(b, 0)) for b in range(1 << SKETCH_BITS))
+    return F.split(F.lit(text), ",").cast("array<tinyint>")
 
 
-def _ordered(classes):
+def _ordered(tokens, classes):
     """Tokens by rarity: frequency class in the high bits, then the hash."""
-    return F.sort_array(F.transform(_tokens(), lambda t: F.shiftleft(F.get(classes, F.pmod(t, F.lit(SKETCH)).cast("int")), 56)
+    return F.sort_array(F.transform(tokens, lambda t: F.shiftleft(F.get(classes, _counter(t).cast("int")).cast("long"), 56)
                                     .bitwiseOR(F.shiftrightunsigned(t, 8))))
 
 
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(id, removed: array<int>, lines): removed line numbers, and the count of lines compared, of each document."""
     lines = _lines(docs)
-    sketch = stored(_sketch(lines), "line-sketch")
+    levels = _sketch(lines)
     num = F.size("tokens")
     # |x and y| >= s |x or y| needs a common token among the first |x| - ceil(s |x|) + 1.
     prefix = (num - F.ceil(num * F.lit(similarity) - 1e-9) + 1).cast("int")
-    keyed = (lines.withColumn("one", F.lit(1)).join(F.broadcast(sketch), "one")
-             .select("id", "line", F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(7), F.col("words")).alias("k2"),
-                     _ordered(F.col("classes")).alias("tokens"))
-             .select("id", "line", "k1", "k2", num.alias("size"), F.slice("tokens", 1, prefix).alias("prefix")))
+    keyed = (_tokenized(lines, "id", "line", *_keys())
+             .select("id", "line", "k1", "k2", num.alias("size"), prefix.alias("kept"),
+                     _ordered(F.col("tokens"), levels).alias("tokens"))
+             .select("id", "line", "k1", "k2", "size", F.slice("tokens", 1, F.col("kept")).alias("prefix")))
+    # Short lines have no tokens; they are left out here, as equal keys have equal tokens.
     classes = stored(keyed.groupBy("k1", "k2").agg(F.min(F.struct("id", "line")).alias("place"),
-                                                   F.first("size").alias("size"), F.first("prefix").alias("prefix")),
-                     "line-classes")
-    posts = classes.select("k1", "place", "size", F.posexplode("prefix").alias("pos", "token"))
+                                                   F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+                     .where("size > 0"), "line-classes")
+    posts = classes.select("place", "size", F.posexplode("prefix").alias("pos", "token"))
     # Tokens with one holder match nothing.
-    heads = posts.groupBy("token").agg(F.count(F.lit(1)).alias("holders"),
-                                       F.min(F.struct("place", "size", "pos")).alias("head")).where("holders > 1")
-    met = stored(posts.join(heads, "token"), "line-met")
+    shared = posts.groupBy("token").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1").select("token")
+    shared = stored(posts.join(shared, "token", "left_semi"), "line-shared")
+    heads = shared.groupBy("token").agg(F.min(F.struct("place", "size", "pos")).alias("head"))
+    met = stored(shared.join(heads, "token"), "line-met")
+    drop_stored(shared)
 
     def passes(size, pos):
         both = F.col("size") + size
@@ -89,34 +121,34 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     first = (met.where(F.col("head.place") < F.col("place")).where(passes(F.col("head.size"), F.col("head.pos")))
              .select(F.col("head.place").alias("x"), F.col("place").alias("y")).distinct())
-    gone = _verified(docs, sketch, stored(first, "line-first"), similarity)
+    gone = _verified(docs, stored(first, "line-first"), similarity)
     rest = met.join(gone.withColumnRenamed("y", "place"), "place", "left_anti")
     others = met.select("token", F.col("place").alias("x"), F.col("size").alias("xsize"), F.col("pos").alias("xpos"))
     second = (rest.join(others, "token").where(F.col("x") < F.col("place"))
               .where(passes(F.col("xsize"), F.col("xpos"))).select("x", F.col("place").alias("y")).distinct())
     # x stands before y and holds a shared token, but is not its earliest holder: those were compared.
     second = second.join(first, ["x", "y"], "left_anti")
-    gone = stored(gone.unionByName(_verified(docs, sketch, stored(second, "line-second"), similarity)), "line-gone")
+    gone = stored(gone.unionByName(_verified(docs, stored(second, "line-second"), similarity)), "line-gone")
 
     # Of a class only its first place can stay, unless an earlier class matched it.
-    narrow = lines.select("id", "line", F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(7), F.col("words")).alias("k2"))
-    stays = classes.select("k1", "k2", "place").join(gone.withColumnRenamed("y", "place"), "place", "left_anti")
-    marked = (narrow.join(stays, ["k1", "k2"], "left")
+    fates = (classes.select("k1", "k2", "place").join(gone.select(F.col("y").alias("place"), F.lit(True).alias("gone")), "place", "left")
+             .select("k1", "k2", F.when(F.col("gone").isNull(), F.col("place")).alias("place")))
+    marked = (lines.select("id", "line", *_keys()).join(fates, ["k1", "k2"])
               .withColumn("out", F.col("place").isNull() | (F.struct("id", "line") != F.col("place"))))
     return marked.groupBy("id").agg(
         F.array_sort(F.collect_set(F.when(F.col("out"), F.col("line")))).alias("removed"),
         F.count_distinct("line").alias("lines"))
 
 
-def _verified(docs: DataFrame, sketch: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """Distinct ``y`` of the pairs whose whole token sets are similar enough."""
     places = stored(pairs.select(F.col("x").alias("place")).unionByName(pairs.select(F.col("y").alias("place"))).distinct(),
                     "line-places")
     ids = places.select(F.col("place.id").alias("id")).distinct()
     near = docs.select("doc_id", "text").join(
         ids, F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)) == ids["id"], "left_semi")
-    sets = stored(_lines(near).withColumn("place", F.struct("id", "line")).join(places, "place")
-                  .select("place", _tokens().alias("tokens")).dropDuplicates(["place"]), "line-sets")
+    sets = stored(_tokenized(_lines(near).withColumn("place", F.struct("id", "line")).join(places, "place"), "place")
+                  .dropDuplicates(["place"]), "line-sets")
     a = sets.select(F.col("place").alias("x"), F.col("tokens").alias("xt"))
     b = sets.select(F.col("place").alias("y"), F.col("tokens").alias("yt"))
     common = F.size(F.array_intersect("xt", "yt"))
