@@ -15,6 +15,7 @@ R4  Running file counts per status over a stream of file records, in
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,10 +33,15 @@ def landed_paths_stream(spark: SparkSession, root: str, max_files_per_trigger: i
             .load(root).select(F.col("path").alias("file_path")))
 
 
+def literal_path(path: str) -> str:
+    """``path`` with its glob characters escaped, so that a read takes it as it is."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def ingest_batch(spark: SparkSession, paths: list[str], rates: DataFrame, table_path: str,
                  with_keys: Callable[[DataFrame], DataFrame], outcomes_path: str | None = None) -> None:
     """The batch ingest over an explicit list of newly landed files."""
-    rows, blocks = ld.scan_landed_csv(spark, paths)
+    rows, blocks = ld.scan_landed_csv(spark, [literal_path(p) for p in paths])
     classified = mt.classify_payload_rows(with_keys(rows), rates)
     mt.write_revenues(mt.revenue_rows(classified), table_path)
     if outcomes_path is not None:

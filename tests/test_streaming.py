@@ -47,3 +47,14 @@ def test_stream_ingest(spark, tmpdir_path):
     back = mt.read_revenues(spark, table)
     assert back.count() == 11  # files re-read now see the 2026-02-16 rate as well
     assert back.select("revenue_id").distinct().count() == 11
+
+
+def test_glob_characters_in_folder_names(spark, tmpdir_path):
+    landing = tmpdir_path + "/landing"
+    for name in ("a[1]", "a1", "b{x}*"):
+        write_file(landing, f"{name}/2026-02-15.csv", "date,revenue,currency\n2026-02-15,100,EUR\n")
+    rates = spark.createDataFrame([("EUR", 1.1, D1)], "currency string, rate_to_usd double, rate_date date")
+    table = tmpdir_path + "/revenues"
+    q = si.start_ingest(spark, landing, lambda: rates, table, tmpdir_path + "/ck", keys, available_now=True)
+    q.awaitTermination()
+    assert {r.source_id for r in mt.read_revenues(spark, table).collect()} == {"a[1]", "a1", "b{x}*"}
