@@ -1,20 +1,23 @@
 """Personal data: patterns, and terms that reveal them by corpus co-occurrence.
 
 Base spans come from patterns (email, ip, card, phone). Their values are the
-protected entities. The corpus then tells how strongly a term near an entity
-reveals it: with ``N`` documents, the entity in ``N(e)`` of them, the term in
-``N(t)`` and both close together in ``N(t, e)``, the information about the
-entity that is left once the term is known is
+protected entities, and so are the classes of a value: its mail domain, network,
+issuer or phone prefix, and its kind. The corpus then tells how strongly a term
+reveals an entity whose texts it shares: with ``N`` documents, the entity in
+``N(e)`` of them, the term in ``N(t)`` and both in ``N(t, e)``, the information
+about the entity that is left once the term is known is
 
     IC(e) - PMI(t, e) = -log2(N(t, e) / N(t))  bits.
 
-A term that leaves at most ``RESIDUAL_BITS`` and was seen with the entity in at
-least ``MIN_TEXTS`` texts exceeds the disclosure threshold; wherever it stands
-in the entity's window it becomes a span of kind ``term``. Sanitising replaces
-base spans by their kind and removes terms.
+A term that leaves at most ``RESIDUAL_BITS``, and at most half of IC(e),
+exceeds the disclosure threshold; wherever it stands in a text of the entity it
+becomes a span of kind ``term``. Sanitising replaces base spans by their kind
+and removes terms.
 
-Counts are over all documents; the texts that show term and entity together
-must differ, so copies alone are no evidence.
+Counts are over all documents and whole texts. The term must share
+``MIN_TEXTS`` distinct texts with the entity, or all of the entity's texts if
+it has fewer: copies alone are no evidence for what recurs, and a value of one
+text is revealed by the terms that single that text out.
 
 Defined results: a null text is empty and has no spans; very long texts are
 read whole; repeated rows get equal results; a failing match is dropped and
@@ -26,7 +29,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark import TaskContext
@@ -37,8 +42,7 @@ from revenue_engine.llm.common import ascii_lower, stored
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-WINDOW = 8          # words on either side of an entity
-MIN_TEXTS = 3       # distinct texts that must show the term beside the entity
+MIN_TEXTS = 3       # distinct texts that must show the term with an entity that has so many
 RESIDUAL_BITS = 1.0
 MIN_LETTERS = 3
 WORD = r"[^\x20\x09-\x0D.,;:!?()\[\]\"']+"
@@ -90,32 +94,33 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _window_terms(text: str, spans: list) -> list[tuple[str, list]]:
-    """For each base span its entity and the words around it that lie outside all base spans."""
-    words = [(m.start(), m.end()) for m in _WORD.finditer(text)]
-    starts = [w[0] for w in words]
+def entities(kind: int, value: str) -> list[str]:
+    """The protected value and the classes it belongs to."""
+    digits = "".join(c for c in value if "0" <= c <= "9")
+    group = (value.rpartition("@")[2].translate(_LOWER), value.rpartition(".")[0], digits[:6], digits[:4])[kind]
+    name = KINDS[kind]
+    return [f"{name}:{value}", f"{name} of:{group}", name]
+
+
+def _free_words(text: str, spans: list) -> list[dict]:
+    """The distinct words outside all base spans, each with its places."""
     taken = sorted((s, e) for _, s, e in spans)
-    from bisect import bisect_left
-
-    def free(s, e):
-        i = bisect_left(taken, (e, -1))
-        return not any(b > s for _, b in taken[max(0, i - 4):i])
-
-    out = []
-    for kind, s, e in spans:
-        left, right = bisect_left(starts, s), bisect_left(starts, e)
-        near = words[max(0, left - WINDOW):left] + words[right:right + WINDOW]
-        terms = [(text[a:b].translate(_LOWER), a, b) for a, b in near if b - a >= MIN_LETTERS and free(a, b)]
-        out.append((f"{KINDS[kind]}:{text[s:e]}", [{"t": t, "s": a, "e": b} for t, a, b in terms]))
-    return out
+    reach = list(accumulate((e for _, e in taken), max))
+    places: dict[str, list] = {}
+    for m in _WORD.finditer(text):
+        a, b = m.span()
+        before = bisect_left(taken, (b, -1))  # spans that start before the word's end
+        if b - a >= MIN_LETTERS and not (before and reach[before - 1] > a):
+            places.setdefault(m[0].translate(_LOWER), []).append({"s": a, "e": b})
+    return [{"t": t, "at": at} for t, at in places.items()]
 
 
 _BASE_SCHEMA = ("rid long, doc_id long, tkey string, n_email long, n_ip long, n_card long, n_phone long, base string, "
-                "near array<struct<e: string, w: array<struct<t: string, s: long, e: long>>>>")
+                "ents array<string>, words array<struct<t: string, at: array<struct<s: long, e: long>>>>")
 
 
 def base_table(docs: DataFrame) -> DataFrame:
-    """Stored table: base spans of each row, and for each entity the words of its window."""
+    """Stored table: base spans of each row, and of rows that have some the entities and all other words."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rid = TaskContext.get().partitionId() << 33
@@ -125,9 +130,10 @@ def base_table(docs: DataFrame) -> DataFrame:
                 rid += 1
                 spans = base_spans(text or "")
                 n = [sum(k == i for k, _, _ in spans) for i in range(len(KINDS))]
+                ents = sorted({x for k, s, e in spans for x in entities(k, text[s:e])})
                 rows.append((rid, doc_id, key, *n, ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans),
-                             [{"e": e, "w": w} for e, w in _window_terms(text, spans)] if spans else []))
-            yield pd.DataFrame(rows, columns=["rid", "doc_id", "tkey", *(f"n_{k}" for k in KINDS), "base", "near"]) \
+                             ents, _free_words(text, spans) if spans else []))
+            yield pd.DataFrame(rows, columns=["rid", "doc_id", "tkey", *(f"n_{k}" for k in KINDS), "base", "ents", "words"]) \
                 .astype({"doc_id": "Int64"})
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -137,42 +143,63 @@ def base_table(docs: DataFrame) -> DataFrame:
 
 def disclosing_terms(docs: DataFrame, base: DataFrame, min_texts: int = MIN_TEXTS,
                      residual_bits: float = RESIDUAL_BITS) -> DataFrame:
-    """(e, t, residual): terms that leave at most ``residual_bits`` about the entity."""
-    near = (base.where(F.size("near") > 0).select("rid", "tkey", F.explode("near").alias("x"))
-            .select("rid", "tkey", F.col("x.e").alias("e"), F.explode("x.w.t").alias("t")).distinct())
-    # Documents with the term beside any entity: a lower bound of N(t), which spares common words the count.
-    least = near.select("rid", "t").distinct().groupBy("t").agg(F.count(F.lit(1)).alias("n_near"))
-    joint = stored(near.groupBy("e", "t", "tkey").agg(F.count(F.lit(1)).alias("n"))
-                   .groupBy("e", "t").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts"))
-                   .where(F.col("texts") >= min_texts).join(least, "t")
-                   .where(F.col("n_both") >= F.col("n_near") * 2.0 ** -residual_bits)
-                   .select("e", "t", "n_both"), "pii-joint")
-    terms = joint.select("t").distinct()
-    words = F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("text").cast("string")), F.lit(WORD), F.lit(0)))
-    seen = (docs.select(F.explode(words).alias("t")).join(terms, "t")
-            .groupBy("t").agg(F.count(F.lit(1)).alias("n_term")))
-    if joint.isEmpty():  # nothing to weigh: the texts need not be read again
-        seen = joint.select("t", F.col("n_both").alias("n_term"))
-    residual = -F.log2(F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0)))
-    return joint.join(seen, "t").withColumn("residual", residual).where(F.col("residual") <= residual_bits) \
-        .select("e", "t", "residual")
+    """(tkey, t): of every text with entities the terms that disclose one of them."""
+    total = base.count()
+    marked = base.where(F.size("ents") > 0)
+    # Of the rows of one text, ``n`` in number, one stands for all.
+    copies = marked.groupBy("tkey").agg(F.min("rid").alias("rid"), F.count(F.lit(1)).alias("n"))
+    texts = stored(marked.select("rid", "ents", "words").join(copies, "rid"), "pii-texts")
+    held = texts.select("tkey", "n", F.explode("ents").alias("e"))
+    facts = held.groupBy("e").agg(F.sum("n").alias("n_ent"), F.count(F.lit(1)).alias("texts"))
+    # At most half of IC(e) may be left, which matters for an entity in more than a quarter of the documents.
+    information = F.log2(F.lit(float(total)) / F.col("n_ent"))
+    facts = facts.withColumn("most", F.least(F.lit(float(residual_bits)), information / 2)).where(information > 0)
+    held = stored(held.join(facts, "e"), "pii-held")
+    words = texts.select("tkey", "n", F.explode("words.t").alias("t"))
+    # Documents with the term and any entity: a lower bound of N(t), which spares common words the count.
+    least = stored(words.groupBy("t").agg(F.sum("n").alias("n_near")), "pii-near")
+
+    def close(both, all_):
+        return -F.log2(F.least(both / all_, F.lit(1.0))) <= F.col("most") + 1e-9
+
+    # All entities that stand in one text only have the same terms: the text stands for them.
+    alone = held.where("texts = 1").groupBy("tkey").agg(F.max("most").alias("most"))
+    alone = (words.join(alone, "tkey").join(least, "t").where(close(F.col("n"), F.col("n_near")))
+             .select("tkey", F.lit(None).cast("string").alias("e"), "t", F.col("n").alias("n_both"), "most"))
+    shared = (texts.join(held.where("texts > 1").groupBy("tkey").agg(F.collect_list(F.struct("e", "texts", "most")).alias("es")), "tkey")
+              .select("n", "es", F.explode("words.t").alias("t")).select("n", "t", F.explode("es").alias("x"))
+              .select("n", "t", "x.*").groupBy("e", "t", "texts", "most")
+              .agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("seen"))
+              .where(F.col("seen") >= F.least(F.lit(min_texts), F.col("texts"))).join(least, "t")
+              .where(close(F.col("n_both"), F.col("n_near")))
+              .select(F.lit(None).cast("string").alias("tkey"), "e", "t", "n_both", "most"))
+    joint = stored(alone.unionByName(shared), "pii-joint")
+    every = F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("text").cast("string")), F.lit(WORD), F.lit(0)))
+    # Counted before the join, so that only each task's distinct words are shuffled.
+    seen = docs.select(F.explode(every).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n_term"))
+    seen = seen.join(joint.select("t").distinct(), "t", "left_semi")
+    told = stored(joint.join(seen, "t").where(close(F.col("n_both"), F.col("n_term"))).select("tkey", "e", "t"), "pii-told")
+    where = (texts.select("tkey", "ents", F.explode("words.t").alias("t"))
+             .join(told.where("e is not null").select("t").distinct(), "t", "left_semi")
+             .select("tkey", "t", F.explode("ents").alias("e")))
+    return (where.join(told.where("e is not null").select("e", "t"), ["e", "t"]).select("tkey", "t")
+            .unionByName(told.where("e is null").select("tkey", "t")).distinct())
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, tkey, n_email, n_ip, n_card, n_phone, base, spans) for every row; ``tkey`` is the text's SHA-256."""
     base = base_table(docs)
     told = disclosing_terms(docs, base)
-    spots = (base.where(F.size("near") > 0).select("tkey", F.explode("near").alias("x"))
-             .select("tkey", F.col("x.e").alias("e"), F.explode("x.w").alias("w"))
-             .select("tkey", "e", F.col("w.t").alias("t"), F.col("w.s").alias("s"), F.col("w.e").alias("end"))
-             .join(told, ["e", "t"]).select("tkey", "s", "end").distinct())
-    # A text has boundedly many windows, so the list of one text fits a row.
-    extra = (spots.groupBy("tkey").agg(F.array_sort(F.collect_list(F.struct("s", "end"))).alias("spots"))
-             .select("tkey", F.array_join(F.transform("spots", lambda x: F.concat_ws(
+    spots = (base.where(F.size("ents") > 0).select("rid", "tkey", F.explode("words").alias("w"))
+             .select("rid", "tkey", F.col("w.t").alias("t"), F.col("w.at").alias("at"))
+             .join(told, ["tkey", "t"]).select("rid", F.explode("at").alias("x")).select("rid", "x.s", F.col("x.e").alias("end")))
+    # The spots of one text are fewer than its words, so their list fits a row.
+    extra = (spots.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("s", "end"))).alias("spots"))
+             .select("rid", F.array_join(F.transform("spots", lambda x: F.concat_ws(
                  ":", F.lit(TERM), x["s"].cast("string"), x["end"].cast("string"))), ",").alias("terms")))
     spans = F.when(F.col("terms").isNull(), F.col("base")).when(F.col("base") == "", F.col("terms")) \
         .otherwise(F.concat_ws(",", "base", "terms"))
-    return base.drop("near", "rid").join(extra, "tkey", "left").withColumn("spans", spans).drop("terms")
+    return base.drop("ents", "words").join(extra, "rid", "left").withColumn("spans", spans).drop("terms", "rid")
 
 
 def sanitised_text(text: str | None, spans: str) -> str:

@@ -205,6 +205,21 @@ def test_pii_patterns_and_terms(spark, none):
     assert pii.find_spans(none).count() == 0
 
 
+def test_pii_unique_values_and_classes_are_disclosed(spark):
+    filler = " ".join(f"common{i}" for i in range(20))
+    far = [(i, f"zebrawood {filler} call a{i}@unique{i}.org now") for i in range(1)]  # one text, the term far from the value
+    firm = [(10 + i, f"the day {filler} ask p{i}@acme.net or quillfirm {'x' * (i + 3)}") for i in range(4)]  # one domain, four values
+    plain = [(100 + i, f"the day {i} {filler} ask or call now") for i in range(40)]
+    df = spark.createDataFrame(far + firm + plain, "doc_id long, text string")
+    terms = {}
+    for r in pii.find_spans(df).collect():
+        text = dict(far + firm + plain)[r.doc_id]
+        terms[r.doc_id] = {text[int(s):int(e)] for k, s, e in (x.split(":") for x in r.spans.split(",") if x) if k == "term"}
+    assert terms[0] == {"zebrawood"}
+    assert all("quillfirm" in terms[10 + i] and not terms[10 + i] & {"the", "day", "ask", "common3"} for i in range(4))
+    assert not any(terms[100 + i] for i in range(40))
+
+
 def test_toxicity(spark, none):
     r = random.Random(1)
     texts = [" ".join(r.choice(WORDS[:200]) for _ in range(30)) for _ in range(120)]
