@@ -13,8 +13,11 @@ Equal lines are one class with its first place, so copies never meet in pairs.
 Each class is compared with the earliest holder of each of its prefix tokens
 first; only classes this leaves unmatched meet every earlier holder.
 
-Native expressions only. Defined results: a line of fewer than five words is
-never removed; A-Z are lower-cased for the comparison only; null texts stay
+A line of one to four words has its whole word sequence as its one token: equal
+ones are one class, whose first place stays, and it matches nothing else.
+
+Native expressions only. Defined results: a line without words is never
+removed; A-Z are lower-cased for the comparison only; null texts stay
 null and have no lines; rows that repeat an id share its removals; null ids
 come last in order; an empty table gives an empty one; other columns pass.
 """
@@ -33,7 +36,7 @@ LAST = (1 << 63) - 1
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(id, line, hashes) of every line long enough for ``WORDS`` words: hashes of its words.
+    """(id, line, hashes) of every line with words: hashes of its words.
 
     The comparison works on the UTF-8 bytes read as Latin-1 and lower-cased: A-Z change,
     and other characters stay different from each other, as the number of continuation
@@ -43,7 +46,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     for space in "\t\x0b\x0c\r":
         folded = F.replace(folded, F.lit(space), F.lit(" "))
     raw = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
-                      F.posexplode_outer(F.split(folded, "\n")).alias("line", "raw")).where(F.length("raw") >= 2 * WORDS - 1)
+                      F.posexplode_outer(F.split(folded, "\n")).alias("line", "raw")).where(F.length(F.trim("raw")) > 0)
     words = F.array_remove(F.split("raw", " "), "")
     return raw.select("id", "line", F.transform(words, lambda w: F.xxhash64(w)).alias("hashes"))
 
@@ -54,7 +57,7 @@ def _keys():
 
 
 def _tokenized(lines: DataFrame, *columns) -> DataFrame:
-    """``columns`` of the lines and ``tokens``: the distinct shingles, none for lines of too few words."""
+    """``columns`` of the lines and ``tokens``: the distinct shingles, none for lines of fewer than ``WORDS`` words."""
     def shingle(h, i):
         for k in range(1, WORDS):
             h = h.bitwiseXOR(F.shiftleft(F.get(F.col("hashes"), i + k), 3 * k))
@@ -101,11 +104,11 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
              .select("id", "line", "k1", "k2", num.alias("size"), prefix.alias("kept"),
                      _ordered(F.col("tokens"), levels).alias("tokens"))
              .select("id", "line", "k1", "k2", "size", F.slice("tokens", 1, F.col("kept")).alias("prefix")))
-    # Short lines have no tokens; they are left out here, as equal keys have equal tokens.
+    # The one token of a line of few words is its key, so its class is whole here and needs no pairs.
     classes = stored(keyed.groupBy("k1", "k2").agg(F.min(F.struct("id", "line")).alias("place"),
-                                                   F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-                     .where("size > 0"), "line-classes")
-    posts = classes.select("place", "size", F.posexplode("prefix").alias("pos", "token"))
+                                                   F.first("size").alias("size"), F.first("prefix").alias("prefix")),
+                     "line-classes")
+    posts = classes.where("size > 0").select("place", "size", F.posexplode("prefix").alias("pos", "token"))
     # Tokens with one holder match nothing.
     shared = posts.groupBy("token").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1").select("token")
     shared = stored(posts.join(shared, "token", "left_semi"), "line-shared")

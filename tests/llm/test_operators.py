@@ -168,6 +168,14 @@ def test_line_dedup(docs, none, rows):
     assert line_dedup.without_repeated_lines(none).count() == 0
 
 
+def test_line_dedup_of_short_lines(spark):
+    df = spark.createDataFrame([(1, "Home\n\nabout  us\nHome"), (2, "home\n \nabout us\nus about\nA b\tc D"), (3, "a b c d\nhomes")],
+                               "doc_id long, text string")
+    got = {r.id: r.removed for r in line_dedup.removed_lines(df).collect() if r.removed}
+    assert got == {1: [3], 2: [0, 2], 3: [0]}
+    assert {r.doc_id: r.text for r in line_dedup.without_repeated_lines(df).collect()}[3] == "homes"
+
+
 def test_packing(docs, none, rows):
     tok = packing.load_tokenizer()
     from tokenizers import Tokenizer
