@@ -7,7 +7,8 @@ hash, so frequent passages leave the prefixes. Similar lines must share a
 token of their prefixes (prefix filter), have close sizes (length filter) and
 enough tokens left after the shared one (positional filter); what passes is
 verified on the whole sets. A line is removed if an earlier line of the input
-matches it; earlier is the smaller (doc_id, line number).
+matches it; earlier is the smaller (doc_id, text hash, line number). Document
+and text hash key a row, so different texts of one id, or of none, stay apart.
 
 Equal lines are one class with its first place, so copies never meet in pairs.
 Each class is compared with the earliest holder of each of its prefix tokens
@@ -18,8 +19,8 @@ ones are one class, whose first place stays, and it matches nothing else.
 
 Native expressions only. Defined results: a line without words is never
 removed; A-Z are lower-cased for the comparison only; null texts stay
-null and have no lines; rows that repeat an id share its removals; null ids
-come last in order; an empty table gives an empty one; other columns pass.
+null and have no lines; rows that repeat an id and its text share its removals;
+null ids come last in order; an empty table gives an empty one; other columns pass.
 """
 
 from __future__ import annotations
@@ -35,8 +36,14 @@ SKETCH_BITS = 16  # the rarity sketch has 2^16 counters; its size does not depen
 LAST = (1 << 63) - 1
 
 
+def row_key(docs: DataFrame) -> tuple[Column, Column]:
+    """``id`` and ``rk``, the key of a row: doc_id, last if null, which gives the order, and a hash of the text."""
+    return (F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)).alias("id"),
+            F.xxhash64(docs["text"].cast("string")).alias("rk"))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """(id, line, hashes) of every line with words: hashes of its words.
+    """(id, rk, line, hashes) of every line with words: hashes of its words.
 
     The comparison works on the UTF-8 bytes read as Latin-1 and lower-cased: A-Z change,
     and other characters stay different from each other, as the number of continuation
@@ -45,10 +52,11 @@ def _lines(docs: DataFrame) -> DataFrame:
     folded = F.lower(F.decode(F.col("text").cast("string").cast("binary"), "ISO-8859-1"))
     for space in "\t\x0b\x0c\r":
         folded = F.replace(folded, F.lit(space), F.lit(" "))
-    raw = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
-                      F.posexplode_outer(F.split(folded, "\n")).alias("line", "raw")).where(F.length(F.trim("raw")) > 0)
+    # Keyed before the split: beside a generator the text would be hashed again for every line.
+    texts = docs.select(*row_key(docs), folded.alias("folded"))
+    raw = texts.select("id", "rk", F.posexplode_outer(F.split("folded", "\n")).alias("line", "raw")).where(F.length(F.trim("raw")) > 0)
     words = F.array_remove(F.split("raw", " "), "")
-    return raw.select("id", "line", F.transform(words, lambda w: F.xxhash64(w)).alias("hashes"))
+    return raw.select("id", "rk", "line", F.transform(words, lambda w: F.xxhash64(w)).alias("hashes"))
 
 
 def _keys():
@@ -94,18 +102,18 @@ def _ordered(tokens, classes):
 
 
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(id, removed: array<int>, lines): removed line numbers, and the count of lines compared, of each document."""
+    """(id, rk, removed: array<int>, lines): removed line numbers, and the count of lines compared, of each row key."""
     lines = _lines(docs)
     levels = _sketch(lines)
     num = F.size("tokens")
     # |x and y| >= s |x or y| needs a common token among the first |x| - ceil(s |x|) + 1.
     prefix = (num - F.ceil(num * F.lit(similarity) - 1e-9) + 1).cast("int")
-    keyed = (_tokenized(lines, "id", "line", *_keys())
-             .select("id", "line", "k1", "k2", num.alias("size"), prefix.alias("kept"),
+    keyed = (_tokenized(lines, "id", "rk", "line", *_keys())
+             .select("id", "rk", "line", "k1", "k2", num.alias("size"), prefix.alias("kept"),
                      _ordered(F.col("tokens"), levels).alias("tokens"))
-             .select("id", "line", "k1", "k2", "size", F.slice("tokens", 1, F.col("kept")).alias("prefix")))
+             .select("id", "rk", "line", "k1", "k2", "size", F.slice("tokens", 1, F.col("kept")).alias("prefix")))
     # The one token of a line of few words is its key, so its class is whole here and needs no pairs.
-    classes = stored(keyed.groupBy("k1", "k2").agg(F.min(F.struct("id", "line")).alias("place"),
+    classes = stored(keyed.groupBy("k1", "k2").agg(F.min(F.struct("id", "rk", "line")).alias("place"),
                                                    F.first("size").alias("size"), F.first("prefix").alias("prefix")),
                      "line-classes")
     posts = classes.where("size > 0").select("place", "size", F.posexplode("prefix").alias("pos", "token"))
@@ -136,9 +144,9 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     # Of a class only its first place can stay, unless an earlier class matched it.
     fates = (classes.select("k1", "k2", "place").join(gone.select(F.col("y").alias("place"), F.lit(True).alias("gone")), "place", "left")
              .select("k1", "k2", F.when(F.col("gone").isNull(), F.col("place")).alias("place")))
-    marked = (lines.select("id", "line", *_keys()).join(fates, ["k1", "k2"])
-              .withColumn("out", F.col("place").isNull() | (F.struct("id", "line") != F.col("place"))))
-    return marked.groupBy("id").agg(
+    marked = (lines.select("id", "rk", "line", *_keys()).join(fates, ["k1", "k2"])
+              .withColumn("out", F.col("place").isNull() | (F.struct("id", "rk", "line") != F.col("place"))))
+    return marked.groupBy("id", "rk").agg(
         F.array_sort(F.collect_set(F.when(F.col("out"), F.col("line")))).alias("removed"),
         F.count_distinct("line").alias("lines"))
 
@@ -147,10 +155,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
     """Distinct ``y`` of the pairs whose whole token sets are similar enough."""
     places = stored(pairs.select(F.col("x").alias("place")).unionByName(pairs.select(F.col("y").alias("place"))).distinct(),
                     "line-places")
-    ids = places.select(F.col("place.id").alias("id")).distinct()
-    near = docs.select("doc_id", "text").join(
-        ids, F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)) == ids["id"], "left_semi")
-    sets = stored(_tokenized(_lines(near).withColumn("place", F.struct("id", "line")).join(places, "place"), "place")
+    keys = places.select("place.id", "place.rk").distinct()
+    near = docs.select("doc_id", "text", *row_key(docs)).join(keys, ["id", "rk"], "left_semi").select("doc_id", "text")
+    sets = stored(_tokenized(_lines(near).withColumn("place", F.struct("id", "rk", "line")).join(places, "place"), "place")
                   .dropDuplicates(["place"]), "line-sets")
     a = sets.select(F.col("place").alias("x"), F.col("tokens").alias("xt"))
     b = sets.select(F.col("place").alias("y"), F.col("tokens").alias("yt"))
@@ -161,10 +168,11 @@ def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
 
 def without_repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with the removed lines cut from ``text``; all rows and columns stay."""
-    gone = removed_lines(docs, similarity).where(F.size("removed") > 0).select(F.col("id").alias("_gone_id"), "removed")
+    gone = removed_lines(docs, similarity).where(F.size("removed") > 0).select(F.col("id").alias("_gone_id"), F.col("rk").alias("_gone_rk"), "removed")
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(F.struct(*cols).alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_id"))
-    joined = rows.join(gone, F.col("_id") == F.col("_gone_id"), "left")
+    id_, rk = row_key(docs)
+    rows = docs.select(F.struct(*cols).alias("_row"), id_.alias("_id"), rk.alias("_rk"))
+    joined = rows.join(gone, (F.col("_id") == F.col("_gone_id")) & (F.col("_rk") == F.col("_gone_rk")), "left")
     kept = F.array_join(F.filter(F.split(F.col("_row.text"), "\n"),
                                  lambda x, i: ~F.array_contains(F.col("removed"), i)), "\n")
     text = F.when(F.col("removed").isNull(), F.col("_row.text")).otherwise(kept)

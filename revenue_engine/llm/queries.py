@@ -108,9 +108,9 @@ def op1_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document, and the numbers of those that repeat an earlier line at Jaccard 0.8 of 5-word shingles."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    gone = line_dedup.removed_lines(docs).withColumnRenamed("id", "doc_id")
+    gone = line_dedup.removed_lines(docs)
     n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")
-    return docs.select("doc_id", n_lines.alias("n_lines")).join(gone, "doc_id", "left").select(
+    return docs.select("doc_id", n_lines.alias("n_lines"), *line_dedup.row_key(docs)).join(gone, ["id", "rk"], "left").select(
         "doc_id", "n_lines", F.coalesce(F.size("removed").cast("long"), F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce(F.array_join(F.transform("removed", lambda x: x.cast("string")), ","), F.lit("")).alias("removed_lines"))
 

@@ -168,6 +168,22 @@ def test_line_dedup(docs, none, rows):
     assert line_dedup.without_repeated_lines(none).count() == 0
 
 
+def test_line_dedup_keeps_null_and_repeated_ids_apart(spark):
+    data = [(None, "one a\nsame line\nfirst text"), (None, "two b\nsame line\nsecond text"), (7, "c\nd\nfifth line"), (7, "e\nc\nd")]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = [r.text for r in line_dedup.without_repeated_lines(df).collect()]
+    lines = sorted(x for t in got for x in t.split("\n"))
+    assert len(got) == 4 and lines == sorted({x for _, t in data for x in t.split("\n")})
+    assert sorted(r.removed_lines for r in _query_on(spark, "op6_line_dedup", df)) in (["", "", "0,1", "1"], ["", "", "1", "1,2"])
+
+
+def _query_on(spark, name, docs):
+    import tempfile
+    folder = tempfile.mkdtemp(prefix="run-")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    return queries.QUERIES[name](spark, folder).collect()
+
+
 def test_line_dedup_of_short_lines(spark):
     df = spark.createDataFrame([(1, "Home\n\nabout  us\nHome"), (2, "home\n \nabout us\nus about\nA b\tc D"), (3, "a b c d\nhomes")],
                                "doc_id long, text string")
