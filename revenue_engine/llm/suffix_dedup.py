@@ -1,7 +1,7 @@
 """Repeated byte strings, removed by blockwise suffix sorting over a cover sample.
 
 A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier
-(smaller doc_id, or earlier in the same document). Only the first ``LENGTH``
+(smaller doc_id and text hash, or earlier in the same document). Only the first ``LENGTH``
 bytes of a suffix matter, so suffixes are sorted to that depth:
 
 1. Cover sample. In every stretch of ``LENGTH`` bytes the position of its
@@ -21,8 +21,9 @@ by name, so no task holds an unbounded bucket. Equality of strings rests on
 two 64-bit fingerprints and the offset, a chance of error below 1e-18 a pair.
 
 Defined results: matches never cross documents; a null text is empty; texts
-shorter than ``LENGTH`` are kept whole; rows that repeat an id are one document
-and get equal results; null ids come last; an empty table gives an empty one.
+shorter than ``LENGTH`` are kept whole; rows that repeat an id and its text are
+one document and get equal results, other texts of the id, or of none, are
+documents of their own; null ids come last; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -105,8 +106,10 @@ def _raw(text) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
 
 
-def _id(docs: DataFrame):
-    return F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)).alias("id")
+def _key(docs: DataFrame):
+    """``id`` and ``rk``, the key of a document: doc_id, which gives the order, and a hash of the text."""
+    return (F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)).alias("id"),
+            F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("rk"))
 
 
 def _text(docs: DataFrame):
@@ -123,22 +126,23 @@ def _released(df: DataFrame, name: str) -> DataFrame:
 
 
 def _sampled(docs: DataFrame) -> DataFrame:
-    """(name, id, pos, lo, hi) of the sampled positions whose name occurs more than once."""
+    """(name, id, rk, pos, lo, hi) of the sampled positions whose name occurs more than once."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         powers = _Powers()
         for b in batches:
-            got = [(i, *cover_sample(_raw(t), powers)) for i, t in zip(b["id"], b["text"])]
+            got = [((i, k), *cover_sample(_raw(t), powers)) for i, k, t in zip(b["id"], b["rk"], b["text"])]
             for a in range(0, len(got), 500):
                 part = [g for g in got[a:a + 500] if len(g[1])]
                 if part:
                     yield pd.DataFrame({"name": np.concatenate([g[1] for g in part]).view(np.int64),
-                                        "id": np.repeat([g[0] for g in part], [len(g[1]) for g in part]),
+                                        "id": np.repeat([g[0][0] for g in part], [len(g[1]) for g in part]),
+                                        "rk": np.repeat([g[0][1] for g in part], [len(g[1]) for g in part]),
                                         "pos": np.concatenate([g[2] for g in part]).astype(np.int32),
                                         "lo": np.concatenate([g[3] for g in part]).astype(np.int32),
                                         "hi": np.concatenate([g[4] for g in part]).astype(np.int32)})
 
-    sample = stored(docs.select(_id(docs), _text(docs)).mapInPandas(run, "name long, id long, pos int, lo int, hi int"),
+    sample = stored(docs.select(*_key(docs), _text(docs)).mapInPandas(run, "name long, id long, rk long, pos int, lo int, hi int"),
                     "suffix-sample")
     twice = sample.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
     out = _released(sample.join(twice, "name"), "suffix-repeated")
@@ -147,17 +151,17 @@ def _sampled(docs: DataFrame) -> DataFrame:
 
 
 def _surroundings(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """(name, id, pos, lo, hi, c1, c2, bytes): the sampled places with all bytes of the suffixes they own."""
+    """(name, id, rk, pos, lo, hi, c1, c2, bytes): the sampled places with all bytes of the suffixes they own."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for i, t, spots in zip(b["id"], b["text"], b["spots"]):
+            for i, k, t, spots in zip(b["id"], b["rk"], b["text"], b["spots"]):
                 raw = _raw(t).tobytes()
                 for s in spots:
                     part = raw[s["lo"]:s["hi"] + LENGTH]
                     key = hashlib.blake2b(part + (s["pos"] - s["lo"]).to_bytes(4, "little"), digest_size=16).digest()
-                    rows.append((s["name"], i, s["pos"], s["lo"], s["hi"], int.from_bytes(key[:8], "little", signed=True),
+                    rows.append((s["name"], i, k, s["pos"], s["lo"], s["hi"], int.from_bytes(key[:8], "little", signed=True),
                                  int.from_bytes(key[8:], "little", signed=True), part))
                 if len(rows) > 20_000:
                     yield pd.DataFrame(rows, columns=_SPOT)
@@ -165,15 +169,15 @@ def _surroundings(docs: DataFrame, sample: DataFrame) -> DataFrame:
             if rows:
                 yield pd.DataFrame(rows, columns=_SPOT)
 
-    spots = sample.groupBy("id").agg(F.collect_list(F.struct("name", "pos", "lo", "hi")).alias("spots"))
-    texts = docs.select(_id(docs), _text(docs)).dropDuplicates(["id"])
-    out = _released(texts.join(spots, "id").mapInPandas(
-        run, "name long, id long, pos int, lo int, hi int, c1 long, c2 long, bytes binary"), "suffix-places")
+    spots = sample.groupBy("id", "rk").agg(F.collect_list(F.struct("name", "pos", "lo", "hi")).alias("spots"))
+    texts = docs.select(*_key(docs), _text(docs)).dropDuplicates(["id", "rk"])
+    out = _released(texts.join(spots, ["id", "rk"]).mapInPandas(
+        run, "name long, id long, rk long, pos int, lo int, hi int, c1 long, c2 long, bytes binary"), "suffix-places")
     drop_stored(sample)
     return out
 
 
-_SPOT = ["name", "id", "pos", "lo", "hi", "c1", "c2", "bytes"]
+_SPOT = ["name", "id", "rk", "pos", "lo", "hi", "c1", "c2", "bytes"]
 
 
 def _suffixes(b: pd.DataFrame) -> tuple[np.ndarray, ...]:
@@ -193,10 +197,10 @@ def _suffixes(b: pd.DataFrame) -> tuple[np.ndarray, ...]:
 
 
 def _later(b: pd.DataFrame) -> pd.DataFrame:
-    """Runs of suffix starts (id, lo, hi) that are not the first of their equals, in a block of whole buckets."""
+    """Runs of suffix starts (id, rk, lo, hi) that are not the first of their equals, in a block of whole buckets."""
     row, start, name, offset, f0, f1 = _suffixes(b)
-    ids = b["id"].to_numpy()[row]
-    order = np.lexsort((start, ids, f1, f0, offset, name))
+    ids, rks = b["id"].to_numpy()[row], b["rk"].to_numpy()[row]
+    order = np.lexsort((start, rks, ids, f1, f0, offset, name))
     same = np.ones(len(order), bool)
     for x in (name, offset, f0, f1):
         s = x[order]
@@ -204,36 +208,37 @@ def _later(b: pd.DataFrame) -> pd.DataFrame:
     same[:1] = False
     # Equal suffixes of one document place and another row are the same place; the first place stays.
     out = order[same]
-    return _runs(ids[out], start[out])
+    return _runs(ids[out], rks[out], start[out])
 
 
-def _runs(ids: np.ndarray, start: np.ndarray) -> pd.DataFrame:
-    order = np.lexsort((start, ids))
-    ids, start = ids[order], start[order]
+def _runs(ids: np.ndarray, rks: np.ndarray, start: np.ndarray) -> pd.DataFrame:
+    order = np.lexsort((start, rks, ids))
+    ids, rks, start = ids[order], rks[order], start[order]
     new = np.ones(len(ids), bool)
-    new[1:] = (ids[1:] != ids[:-1]) | (start[1:] > start[:-1] + 1)
+    new[1:] = (ids[1:] != ids[:-1]) | (rks[1:] != rks[:-1]) | (start[1:] > start[:-1] + 1)
     at = np.flatnonzero(new)
     end = np.append(at[1:], len(ids)) - 1 if len(at) else at
-    return pd.DataFrame({"id": ids[at].astype(np.int64), "lo": start[at].astype(np.int64), "hi": start[end].astype(np.int64)})
+    return pd.DataFrame({"id": ids[at].astype(np.int64), "rk": rks[at].astype(np.int64), "lo": start[at].astype(np.int64),
+                         "hi": start[end].astype(np.int64)})
 
 
 def later_starts(docs: DataFrame) -> DataFrame:
-    """Stored (id, lo, hi): runs of starts of ``LENGTH``-byte strings that also start earlier."""
+    """Stored (id, rk, lo, hi): runs of starts of ``LENGTH``-byte strings that also start earlier."""
     places = _surroundings(docs, _sampled(docs))
-    place = F.struct("id", "lo", "hi", "pos")
+    place = F.struct("id", "rk", "lo", "hi", "pos")
     classes = _released(places.groupBy("c1", "c2").agg(F.min(place).alias("place"), F.min("name").alias("name"),
                                                     F.min("bytes").alias("bytes"))
                      .select("c1", "c2", "name", "bytes", "place.*"), "suffix-classes")
-    copies = stored(places.drop("bytes").join(classes.select("c1", "c2", F.struct("id", "lo", "hi", "pos").alias("head")), ["c1", "c2"])
-              .where(place != F.col("head")).select("id", F.col("lo").cast("long"), F.col("hi").cast("long")), "suffix-copies")
+    copies = stored(places.drop("bytes").join(classes.select("c1", "c2", F.struct("id", "rk", "lo", "hi", "pos").alias("head")), ["c1", "c2"])
+              .where(place != F.col("head")).select("id", "rk", F.col("lo").cast("long"), F.col("hi").cast("long")), "suffix-copies")
     drop_stored(places)
     sizes = classes.groupBy("name").agg(F.count(F.lit(1)).alias("rows"))
     large = stored(sizes.where(F.col("rows") > BUCKET_ROWS).select("name"), "suffix-large")
     total = classes.count()
     blocks = max(1, -(-total // BUCKETS_AT_ONCE))
     small = classes.join(large, "name", "left_anti")
-    sorted_ = (small.select("name", "id", "pos", "lo", "hi", "bytes", F.pmod(F.xxhash64("name"), F.lit(blocks)).alias("block"))
-               .groupBy("block").applyInPandas(lambda b: _later(b), "id long, lo long, hi long"))
+    sorted_ = (small.select("name", "id", "rk", "pos", "lo", "hi", "bytes", F.pmod(F.xxhash64("name"), F.lit(blocks)).alias("block"))
+               .groupBy("block").applyInPandas(lambda b: _later(b), "id long, rk long, lo long, hi long"))
     if not large.isEmpty():
         sorted_ = sorted_.unionByName(_spread(classes.join(large, "name", "left_semi")))
     out = _released(copies.unionByName(sorted_), "suffix-runs")
@@ -251,19 +256,19 @@ def _spread(classes: DataFrame) -> DataFrame:
                 part = b.iloc[a:a + BUCKETS_AT_ONCE]
                 row, start, name, offset, f0, f1 = _suffixes(part)
                 yield pd.DataFrame({"name": name, "off": offset, "f0": f0.view(np.int64), "f1": f1.view(np.int64),
-                                    "id": part["id"].to_numpy()[row], "start": start})
+                                    "id": part["id"].to_numpy()[row], "rk": part["rk"].to_numpy()[row], "start": start})
 
     key = ["name", "off", "f0", "f1"]
-    each = stored(classes.select("name", "id", "pos", "lo", "hi", "bytes").mapInPandas(
-        run, "name long, off long, f0 long, f1 long, id long, start long"), "suffix-spread")
-    heads = each.groupBy(*key).agg(F.min(F.struct("id", "start")).alias("head"))
-    return (each.join(heads, key).where(F.struct("id", "start") != F.col("head"))
-            .select("id", F.col("start").alias("lo"), F.col("start").alias("hi")))
+    each = stored(classes.select("name", "id", "rk", "pos", "lo", "hi", "bytes").mapInPandas(
+        run, "name long, off long, f0 long, f1 long, id long, rk long, start long"), "suffix-spread")
+    heads = each.groupBy(*key).agg(F.min(F.struct("id", "rk", "start")).alias("head"))
+    return (each.join(heads, key).where(F.struct("id", "rk", "start") != F.col("head"))
+            .select("id", "rk", F.col("start").alias("lo"), F.col("start").alias("hi")))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, kept: binary, n_bytes, n_removed, n_spans) for every row of ``docs``."""
-    runs = later_starts(docs).groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+    runs = later_starts(docs).groupBy("id", "rk").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -279,6 +284,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 rows.append((i, raw[~gone].tobytes(), len(raw), int(gone.sum()), spans))
             yield pd.DataFrame(rows, columns=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"]).astype({"doc_id": "Int64"})
 
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), _id(docs), _text(docs))
-    return texts.join(runs, "id", "left").select("doc_id", "text", "runs").mapInPandas(
+    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), *_key(docs), _text(docs))
+    return texts.join(runs, ["id", "rk"], "left").select("doc_id", "text", "runs").mapInPandas(
         run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")

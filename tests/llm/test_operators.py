@@ -184,6 +184,19 @@ def _query_on(spark, name, docs):
     return queries.QUERIES[name](spark, folder).collect()
 
 
+def test_suffix_dedup_keeps_null_and_repeated_ids_apart(spark, monkeypatch):
+    r = random.Random(8)
+    own = ["".join(r.choice("abcdefghij ") for _ in range(n)) for n in (40, 900, 1500, 10)]
+    shared = "".join(r.choice("klmnopqrst ") for _ in range(300))
+    data = [(None, own[0] + shared), (None, own[1] + shared), (7, shared + own[2]), (7, own[3] + shared)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    for bucket in (suffix_dedup.BUCKET_ROWS, 1):
+        monkeypatch.setattr(suffix_dedup, "BUCKET_ROWS", bucket)
+        got = {(x.doc_id, bytes(x.kept).decode()) for x in suffix_dedup.without_repeats(df).collect()}
+        rest = {(None, own[0]), (None, own[1])}
+        assert got in ({*rest, data[2], (7, own[3])}, {*rest, (7, own[2]), data[3]})
+
+
 def test_line_dedup_of_short_lines(spark):
     df = spark.createDataFrame([(1, "Home\n\nabout  us\nHome"), (2, "home\n \nabout us\nus about\nA b\tc D"), (3, "a b c d\nhomes")],
                                "doc_id long, text string")
