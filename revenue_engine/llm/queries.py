@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revenue_engine.llm import line_dedup, mixing, nn_descent, packing, pii, pivot_search, simhash, suffix_dedup, toxicity, url_filter
+from revenue_engine.llm import (line_dedup, mixing, nn_descent, packing, pii, pivot_search, simhash, suffix_dedup, toxicity,
+                                url_filter, whitening)
 from revenue_engine.llm.common import table
 from revenue_engine.llm.vectors import clean_vectors
 
@@ -120,3 +121,11 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 100-byte strings that start earlier too."""
     out = suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight leading components, whitened, with the exact deviation and the shares explained."""
+    out = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 8)
+    return out.select(F.col("id").alias("vec_id"), "component", "n", F.expr("try_cast(deviation as long)").alias("deviation"),
+                      "whitened", "explained", "identity_error")
