@@ -4,7 +4,8 @@ Every entry c becomes the integer x = floor(``SCALE`` * c) + ``OFFSET``. With n
 rows and the exact sums S of every dimension, the matrix A has the rows
 (n*x - S) / n: centred in integers before anything is multiplied.
 
-Each Lanczos step is an alternation of two distributed products:
+Each Lanczos step is an alternation of two distributed products, made in one
+pass over the rows:
 
 * A v for the newest right vector v, orthogonalised against all left vectors;
 * Aᵀu for the left vector u this gives, orthogonalised against all right vectors.
@@ -140,12 +141,12 @@ def fit(rows: DataFrame, wanted: int = 8, seed: int = 1) -> Fit:
     if n < 2:
         return none
 
-    def products(w, basis, back: bool) -> tuple[np.ndarray, np.ndarray, float]:
-        """Uᵀ(A w), Aᵀ(A w) if asked for, and |A w|², in one pass over the rows."""
+    def products(w, basis) -> tuple[np.ndarray, np.ndarray, float]:
+        """Uᵀ(A w), Aᵀ(A w) and |A w|², in one pass over the rows."""
         def work(x):
             a = _centred(x, n, sums, largest)
             z = a @ w
-            return np.concatenate([[z @ z], (a @ basis).T @ z if basis.size else [], a.T @ z if back else []])
+            return np.concatenate([[z @ z], (a @ basis).T @ z, a.T @ z])
 
         got = _totals(rows, work, "double")
         out = np.array([got[i] for i in range(len(got))])
@@ -181,9 +182,9 @@ def fit(rows: DataFrame, wanted: int = 8, seed: int = 1) -> Fit:
     while v is not None:
         right = np.column_stack([right, v])
         k = right.shape[1] - 1
-        c = products(v, left, False)[0]
+        c = back.T @ v  # Uᵀ(A v), as Aᵀ U is at hand
         w = v - left @ c
-        c2, g, square = products(w, left, True)
+        c2, g, square = products(w, left)  # c2: what rounding left of the left vectors
         alpha = np.sqrt(max(square - float(c2 @ c2), 0.0))
         grown = np.zeros((k + 1, k + 1))
         grown[:k, :k], grown[:k, k] = small, c + c2
