@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revenue_engine.llm import (line_dedup, mixing, nn_descent, packing, pii, pivot_search, simhash, suffix_dedup, toxicity,
+from revenue_engine.llm import (line_dedup, mixing, nn_descent, packing, pii, pivot_search, simhash, suffix_dedup, token_files, toxicity,
                                 url_filter, whitening)
 from revenue_engine.llm.common import table
 from revenue_engine.llm.vectors import clean_vectors
+from revenue_engine.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -129,3 +130,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 8)
     return out.select(F.col("id").alias("vec_id"), "component", "n", F.expr("try_cast(deviation as long)").alias("deviation"),
                       "whitened", "explained", "identity_error")
+
+
+@query
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written as coded files in order of doc_id and read back."""
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    back = token_files.read_token_files(spark, path)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
