@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revenue_engine.llm import (line_dedup, mixing, nn_descent, packing, pii, pivot_search, simhash, suffix_dedup, token_files, toxicity,
+from revenue_engine.llm import (blocked_search, line_dedup, mixing, nn_descent, packing, pii, pivot_search, simhash, suffix_dedup, token_files, toxicity,
                                 url_filter, whitening)
 from revenue_engine.llm.common import table
 from revenue_engine.llm.vectors import clean_vectors
@@ -139,3 +139,28 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_files.write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     back = token_files.read_token_files(spark, path)
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op13_blocked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty best documents of every benchmark item by weighted terms."""
+    found = blocked_search.top_documents(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                         table(spark, sf_dir, "benchmark").select("item_id", "text"), 50)
+    return found.select(F.col("id").alias("item_id"), "rank", "doc_id", "score")
+
+
+ORACLES["op13_blocked_search"] = r"""
+with d as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents),
+c as (select cast(count(*) as bigint) as n_docs, cast(sum(len(terms)) as bigint) as n_terms from d where len(terms) > 0),
+tf as (select doc_id, n, term, count(*) as tf
+       from (select doc_id, cast(len(terms) as bigint) as n, unnest(terms) as term from d) group by doc_id, n, term),
+df as (select term, cast(floor(1000 * ln(cast(2 * n_docs + 2 as double) / (2 * df + 1))) as bigint) as w
+       from (select term, count(*) as df from tf group by term), c),
+q as (select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+s as (select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) as bigint) as score
+      from q join tf using (term) join df using (term), c group by item_id, doc_id),
+r as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from s where score > 0)
+select item_id, cast(rank as integer) as rank, doc_id, score from r where rank <= 50
+"""
