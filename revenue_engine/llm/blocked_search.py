@@ -48,13 +48,13 @@ from pyspark.sql import functions as F
 from revenue_engine.llm.common import drop_stored, stored
 from revenue_engine.session import scratch_path
 
-SHARD_DOCS = 4096
+SHARD_DOCS = 2048
 BLOCK_DOCS = 128  # documents a block is aimed at
 DIMENSIONS = 32  # of the projections that similarity is taken from
 UNIT = 16  # summaries are rounded up to multiples; 16 * 65535 is above every impact
 BATCH_TERMS = 60_000
 PIECE = 1 << 20  # bytes of a long text handled at once
-CELLS = 1 << 22  # summary cells filled at once
+CELLS = 1 << 20  # summary cells filled at once
 
 _KEEP = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
 _FOLD = bytes(c if c in _KEEP else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -119,8 +119,10 @@ class Shard:
     sum_max: np.ndarray  # in units, rounded up
 
 
-FIELDS = {"ptr": "<i8", "tid": "<i4", "imp": "<i4", "block_term": "<i4", "block_ptr": "<i8", "block_doc": "<i4",
-          "sum_ptr": "<i8", "sum_tid": "<i4", "sum_max": "<u2"}
+def stored_as(size: int) -> dict[str, str]:
+    """How the arrays of a shard are stored, for ``size`` terms."""
+    return {"ptr": "<i4", "tid": "<i4", "imp": "<i4", "block_term": "<i4", "block_ptr": "<i4", "block_doc": "<i4",
+            "sum_ptr": "<i4", "sum_tid": "<u2" if size <= 1 << 16 else "<i4", "sum_max": "<u2"}
 
 
 def _clustered(docs: np.ndarray, sketch: np.ndarray) -> list[np.ndarray]:
@@ -158,7 +160,8 @@ def build_shard(ptr: np.ndarray, tid: np.ndarray, imp: np.ndarray, weights: np.n
         m = slice(block_ptr[a], block_ptr[z])
         rows, widths = members[m], wide[m]
         at = _ranges(ptr[rows], widths)
-        cell = np.repeat(np.repeat(np.arange(z - a), counts[a:z]), widths) * size + tid[at]
+        cell = np.repeat(np.repeat(np.arange(z - a) * size, counts[a:z]), widths)
+        cell += tid[at]
         top = np.zeros((z - a) * size, np.int32)
         np.maximum.at(top, cell, imp[at])
         hit = np.flatnonzero(top)
@@ -278,7 +281,8 @@ def statistics(forward: DataFrame, size: int) -> Statistics:
 
 def build_index(forward: DataFrame, stats: Statistics) -> DataFrame:
     """Stored shards, one a row: document ids and the arrays of ``Shard``."""
-    kinds = ", ".join(f"{f} binary" for f in FIELDS)
+    fields = stored_as(len(stats.weights))
+    kinds = ", ".join(f"{f} binary" for f in fields)
 
     def made(rows: list[tuple]) -> pa.RecordBatch:
         tids = [np.frombuffer(r[2], "<i4") for r in rows]
@@ -286,8 +290,8 @@ def build_index(forward: DataFrame, stats: Statistics) -> DataFrame:
         ptr = np.concatenate([[0], np.cumsum([len(t) for t in tids])])
         n = np.repeat(np.array([r[1] for r in rows], np.int64), np.diff(ptr))
         shard = build_shard(ptr, np.concatenate(tids), stats.impacts(n, tf).astype(np.int32), stats.weights)
-        columns = [pa.array([getattr(shard, f).astype(kind).tobytes()], pa.binary()) for f, kind in FIELDS.items()]
-        return pa.RecordBatch.from_arrays([pa.array([[r[0] for r in rows]], pa.list_(pa.int64())), *columns], names=["docs", *FIELDS])
+        columns = [pa.array([getattr(shard, f).astype(kind).tobytes()], pa.binary()) for f, kind in fields.items()]
+        return pa.RecordBatch.from_arrays([pa.array([[r[0] for r in rows]], pa.list_(pa.int64())), *columns], names=["docs", *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
@@ -312,6 +316,7 @@ def build_index(forward: DataFrame, stats: Statistics) -> DataFrame:
 
 def search_index(index: DataFrame, batch: Batch, weights: np.ndarray, k: int) -> DataFrame:
     """(query, doc_id, score): at least the k best documents of every query of the batch."""
+    fields = stored_as(len(weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [Best.none(k) for _ in batch.queries]
@@ -319,7 +324,7 @@ def search_index(index: DataFrame, batch: Batch, weights: np.ndarray, k: int) ->
             for row in range(b.num_rows):
                 ids = b.column(0)[row].as_py()
                 docs = np.array([(d is None, d or 0) for d in ids], np.int64)
-                arrays = {f: np.frombuffer(b.column(i)[row].as_buffer(), kind) for i, (f, kind) in enumerate(FIELDS.items(), 1)}
+                arrays = {f: np.frombuffer(b.column(i)[row].as_buffer(), kind) for i, (f, kind) in enumerate(fields.items(), 1)}
                 shard = Searcher(Shard(**arrays), docs, weights)
                 for (_, terms), found in zip(batch.queries, best):
                     shard.search(terms, found)
