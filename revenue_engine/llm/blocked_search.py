@@ -51,7 +51,7 @@ from revenue_engine.session import scratch_path
 SHARD_DOCS = 2048
 BLOCK_DOCS = 128  # documents a block is aimed at
 DIMENSIONS = 32  # of the projections that similarity is taken from
-UNIT = 16  # summaries are rounded up to multiples; 16 * 65535 is above every impact
+UNIT = 4096  # summaries are rounded up to multiples, one byte each: 4096 * 255 is above every impact
 BATCH_TERMS = 60_000
 PIECE = 1 << 20  # bytes of a long text handled at once
 CELLS = 1 << 20  # summary cells filled at once
@@ -122,7 +122,21 @@ class Shard:
 def stored_as(size: int) -> dict[str, str]:
     """How the arrays of a shard are stored, for ``size`` terms."""
     return {"ptr": "<i4", "tid": "<i4", "imp": "<i4", "block_term": "<i4", "block_ptr": "<i4", "block_doc": "<i4",
-            "sum_ptr": "<i4", "sum_tid": "<u2" if size <= 1 << 16 else "<i4", "sum_max": "<u2"}
+            "sum_ptr": "<i4", "sum_tid": "<u2" if size <= 1 << 16 else "<i4", "sum_max": "u1"}
+
+
+def packed(shard: Shard, size: int) -> tuple[list[int], bytes]:
+    """Lengths of the arrays in bytes, and the arrays, compressed: a row of the index stays small outside the task that uses it."""
+    arrays = [getattr(shard, f).astype(kind).tobytes() for f, kind in stored_as(size).items()]
+    return [len(a) for a in arrays], pa.compress(b"".join(arrays), "zstd", asbytes=True)
+
+
+def unpacked(lengths: list[int], raw, size: int) -> Shard:
+    data, at, arrays = pa.decompress(raw, sum(lengths), "zstd"), 0, {}
+    for n, (f, kind) in zip(lengths, stored_as(size).items()):
+        arrays[f] = np.frombuffer(data[at:at + n], kind)
+        at += n
+    return Shard(**arrays)
 
 
 def _clustered(docs: np.ndarray, sketch: np.ndarray) -> list[np.ndarray]:
@@ -166,7 +180,7 @@ def build_shard(ptr: np.ndarray, tid: np.ndarray, imp: np.ndarray, weights: np.n
         np.maximum.at(top, cell, imp[at])
         hit = np.flatnonzero(top)
         sum_tid.append((hit % size).astype(np.int32))
-        sum_max.append((-(-top[hit] // UNIT)).astype(np.uint16))
+        sum_max.append((-(-top[hit] // UNIT)).astype(np.uint8))
         sum_ptr.append(np.bincount(hit // size, minlength=z - a))
     ends = np.cumsum(np.concatenate(sum_ptr[1:]))
     return Shard(ptr, tid, imp, np.array(terms), block_ptr, members, np.concatenate([[0], ends]), np.concatenate(sum_tid), np.concatenate(sum_max))
@@ -280,9 +294,8 @@ def statistics(forward: DataFrame, size: int) -> Statistics:
 
 
 def build_index(forward: DataFrame, stats: Statistics) -> DataFrame:
-    """Stored shards, one a row: document ids and the arrays of ``Shard``."""
-    fields = stored_as(len(stats.weights))
-    kinds = ", ".join(f"{f} binary" for f in fields)
+    """Stored shards, one a row: document ids and the packed arrays of ``Shard``."""
+    size = len(stats.weights)
 
     def made(rows: list[tuple]) -> pa.RecordBatch:
         tids = [np.frombuffer(r[2], "<i4") for r in rows]
@@ -290,8 +303,9 @@ def build_index(forward: DataFrame, stats: Statistics) -> DataFrame:
         ptr = np.concatenate([[0], np.cumsum([len(t) for t in tids])])
         n = np.repeat(np.array([r[1] for r in rows], np.int64), np.diff(ptr))
         shard = build_shard(ptr, np.concatenate(tids), stats.impacts(n, tf).astype(np.int32), stats.weights)
-        columns = [pa.array([getattr(shard, f).astype(kind).tobytes()], pa.binary()) for f, kind in fields.items()]
-        return pa.RecordBatch.from_arrays([pa.array([[r[0] for r in rows]], pa.list_(pa.int64())), *columns], names=["docs", *fields])
+        lengths, raw = packed(shard, size)
+        return pa.RecordBatch.from_arrays([pa.array([[r[0] for r in rows]], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())),
+                                           pa.array([raw], pa.binary())], names=["docs", "lengths", "arrays"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
@@ -304,10 +318,10 @@ def build_index(forward: DataFrame, stats: Statistics) -> DataFrame:
         if rows:
             yield made(rows)
 
-    shards = forward.where(F.octet_length("tids") > 0).mapInArrow(run, f"docs array<long>, {kinds}")
+    shards = forward.where(F.octet_length("tids") > 0).mapInArrow(run, "docs array<long>, lengths array<long>, arrays binary")
     path = scratch_path(forward.sparkSession, "search-shards")
     # A row is a whole shard: row groups of one or a few keep what a reader holds at once small.
-    (shards.write.option("compression", "zstd").option("parquet.block.size", 8 << 20)
+    (shards.write.option("compression", "none").option("parquet.block.size", 8 << 20)
      .option("parquet.block.size.row.check.min", 1).option("parquet.block.size.row.check.max", 1).parquet(path))
     out = forward.sparkSession.read.schema(shards.schema).parquet(path)
     out._stored_path = path
@@ -316,16 +330,13 @@ def build_index(forward: DataFrame, stats: Statistics) -> DataFrame:
 
 def search_index(index: DataFrame, batch: Batch, weights: np.ndarray, k: int) -> DataFrame:
     """(query, doc_id, score): at least the k best documents of every query of the batch."""
-    fields = stored_as(len(weights))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [Best.none(k) for _ in batch.queries]
         for b in batches:
             for row in range(b.num_rows):
                 ids = b.column(0)[row].as_py()
                 docs = np.array([(d is None, d or 0) for d in ids], np.int64)
-                arrays = {f: np.frombuffer(b.column(i)[row].as_buffer(), kind) for i, (f, kind) in enumerate(fields.items(), 1)}
-                shard = Searcher(Shard(**arrays), docs, weights)
+                shard = Searcher(unpacked(b.column(1)[row].as_py(), b.column(2)[row].as_buffer(), len(weights)), docs, weights)
                 for (_, terms), found in zip(batch.queries, best):
                     shard.search(terms, found)
         q = np.repeat(np.arange(len(best)), [len(f.scores) for f in best])
