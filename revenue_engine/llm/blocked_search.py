@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revenue_engine.llm.common import drop_stored, stored
+from revenue_engine.llm.common import arrow_batches, drop_stored, stored
 from revenue_engine.session import scratch_path
 
 SHARD_DOCS = 2048
@@ -54,7 +54,8 @@ DIMENSIONS = 32  # of the projections that similarity is taken from
 UNIT = 4096  # summaries are rounded up to multiples, one byte each: 4096 * 255 is above every impact
 BATCH_TERMS = 60_000
 PIECE = 1 << 20  # bytes of a long text handled at once
-CELLS = 1 << 20  # summary cells filled at once
+BATCH_BYTES = 16 << 20  # of shards handed to a worker at once
+CELLS = 1 << 18  # summary cells filled at once
 
 _KEEP = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
 _FOLD = bytes(c if c in _KEEP else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -375,7 +376,8 @@ def top_documents(docs: DataFrame, queries: DataFrame, k: int = 50, id_col: str
         order = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
         ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         ids = F.array(*[F.lit(q).cast("long") for q, _ in batch.queries])
-        out.append(stored(ranked.select(F.get(ids, F.col("query")).alias("id"), "rank", "doc_id", "score"), "search-found"))
+        with arrow_batches(spark, BATCH_BYTES):
+            out.append(stored(ranked.select(F.get(ids, F.col("query")).alias("id"), "rank", "doc_id", "score"), "search-found"))
         drop_stored(index)
     if not out:
         return spark.createDataFrame([], "id long, rank int, doc_id long, score long")

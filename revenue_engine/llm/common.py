@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,18 @@ def drop_stored(df: DataFrame) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, size: int):
+    """Jobs run inside hand rows of large binaries to Python workers in batches of about ``size`` bytes."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
