@@ -54,7 +54,7 @@ DIMENSIONS = 32  # of the projections that similarity is taken from
 UNIT = 4096  # summaries are rounded up to multiples, one byte each: 4096 * 255 is above every impact
 BATCH_TERMS = 60_000
 PIECE = 1 << 20  # bytes of a long text handled at once
-BATCH_BYTES = 16 << 20  # of shards handed to a worker at once
+BATCH_BYTES = 8 << 20  # of texts or shards handed to a worker at once
 CELLS = 1 << 18  # summary cells filled at once
 
 _KEEP = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
@@ -367,18 +367,18 @@ def query_batches(queries: DataFrame, id_col: str, text_col: str) -> Iterator[Ba
 def top_documents(docs: DataFrame, queries: DataFrame, k: int = 50, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(id, rank, doc_id, score): the k best documents with a score above 0 of every query, ties to smaller doc_id."""
     spark, out = docs.sparkSession, []
-    for batch in query_batches(queries, id_col, text_col):
-        forward = forward_index(docs, batch.vocabulary)
-        stats = statistics(forward, len(batch.vocabulary))
-        index = build_index(forward, stats)
-        drop_stored(forward)
-        found = search_index(index, batch, stats.weights, k)
-        order = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
-        ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        ids = F.array(*[F.lit(q).cast("long") for q, _ in batch.queries])
-        with arrow_batches(spark, BATCH_BYTES):
+    with arrow_batches(spark, BATCH_BYTES):
+        for batch in query_batches(queries, id_col, text_col):
+            forward = forward_index(docs, batch.vocabulary)
+            stats = statistics(forward, len(batch.vocabulary))
+            index = build_index(forward, stats)
+            drop_stored(forward)
+            found = search_index(index, batch, stats.weights, k)
+            order = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
+            ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            ids = F.array(*[F.lit(q).cast("long") for q, _ in batch.queries])
             out.append(stored(ranked.select(F.get(ids, F.col("query")).alias("id"), "rank", "doc_id", "score"), "search-found"))
-        drop_stored(index)
+            drop_stored(index)
     if not out:
         return spark.createDataFrame([], "id long, rank int, doc_id long, score long")
     while len(out) > 1:
