@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Timestamps in the ledger are wall-clock
 # values without zone, so the session zone is pinned to UTC.
@@ -99,3 +99,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = shared_dir(spark)
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    Cuts the lineage at a durable copy (a lost executor re-reads it) and gives the optimizer true sizes.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", codec).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored = (path,)
+    return out
+
+
+def drop_stored(*frames: DataFrame) -> None:
+    """Delete the scratch tables behind ``frames``, once what was made of them is written."""
+    for df in frames:
+        for path in getattr(df, "_stored", ()):
+            jpath = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            jpath.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(jpath, True)
