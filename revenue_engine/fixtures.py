@@ -75,7 +75,7 @@ select o_orderkey,
             else cast(cast(o_totalprice as decimal(18,2)) as string) end as revenue_s,
        case o_orderkey % 7 when 0 then 'USD' when 1 then 'EUR' when 2 then 'GBP' when 3 then 'INR'
             when 4 then 'JPY' when 5 then '' else 'XXX' end as currency_s,
-       o_orderpriority as product
+       case when o_orderkey % 29 = 3 then concat(o_orderpriority, chr(10), '"second", line') else o_orderpriority end as product
 from orders join customer on o_custkey = c_custkey""",
     "fx_rates": _fx_rates_sql(),
     "fx_rate_api": _fx_rate_api_sql(),

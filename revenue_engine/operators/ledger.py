@@ -161,44 +161,56 @@ def health_metrics(files: DataFrame, pending: DataFrame, as_of, minutes: int = S
             .withColumn("stuck_alert", F.col("n_stuck") > 0))
 
 
+def table_violations(df: DataFrame, table: str, key, not_null, unique, checks=()) -> DataFrame:
+    """Violated checks of one table, in one scan.
+
+    Each row gives an array of what it violates by itself, or could violate
+    with others: ``key`` names it, ``not_null`` lists columns, ``unique`` pairs
+    of (name, columns), ``checks`` pairs of (name, condition that must not be
+    TRUE). The entries are exploded and counted together, map-side first; an
+    entry of a unique key is a violation where it counts more than one row.
+    Nulls in a unique key form a value, as in a grouping.
+    """
+    def entry(name, k, alone):
+        return F.struct(F.lit(name).alias("constraint_name"), k.alias("key"), F.lit(alone).alias("alone"))
+
+    def joined(cols):
+        return F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
+
+    keys = F.array(*[F.col(c).cast("string") for _, cols in unique for c in cols])  # for grouping: concat_ws drops nulls
+    place, at = {}, 0
+    for name, cols in unique:
+        place[name] = F.slice(keys, at + 1, len(cols))
+        at += len(cols)
+    none = F.array().cast("array<string>")
+    found = ([F.when(F.col(c).isNull(), entry(f"{c}_not_null", joined(key), True)) for c in not_null]
+             + [F.when(cond, entry(name, joined(key), True)) for name, cond in checks])
+    rows = df.select(F.array_compact(F.array(
+        *[F.when(e.isNotNull(), F.struct(e.alias("e"), none.alias("k"))) for e in found],
+        *[F.struct(entry(name, joined(cols), False).alias("e"), place[name].alias("k")) for name, cols in unique])).alias("all"))
+    each = rows.select(F.explode("all").alias("x")).select("x.e.*", "x.k")
+    counted = each.groupBy("constraint_name", "key", "k", "alone").agg(F.count(F.lit(1)).alias("n"))
+    out = counted.where(F.col("alone") | (F.col("n") > 1))
+    # Rows violating alone are listed one by one, repeated keys with their number of rows.
+    times = F.when(F.col("alone"), F.col("n")).otherwise(F.lit(1)).cast("int")
+    return (out.withColumn("_", F.explode(F.array_repeat(F.lit(1), times)))
+            .select(F.lit(table).alias("table_name"), "constraint_name", "key",
+                    F.when(F.col("alone"), F.lit(1)).otherwise(F.col("n")).cast("long").alias("n_rows")))
+
+
 def constraint_violations(sources: DataFrame, files: DataFrame, rates: DataFrame) -> DataFrame:
-    """Declared NOT NULL, PRIMARY KEY, UNIQUE and status-domain checks.
+    """Declared NOT NULL, PRIMARY KEY, UNIQUE and status-domain checks, one scan per table.
 
     One row per violated (table, constraint, key); duplicate keys are found
-    with a ``groupBy`` (partial aggregation), never by pairing rows.
+    by a grouped count (partial aggregation), never by pairing rows.
     """
-    def dup(df, table, cname, keys):
-        return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
-                .select(F.lit(table).alias("table_name"), F.lit(cname).alias("constraint_name"),
-                        F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("key"),
-                        "n_rows"))
-
-    def nulls(df, table, key, cols):
-        out = None
-        for c in cols:
-            d = (df.where(F.col(c).isNull())
-                 .select(F.lit(table).alias("table_name"), F.lit(f"{c}_not_null").alias("constraint_name"),
-                         F.col(key).cast("string").alias("key"), F.lit(1).cast("long").alias("n_rows")))
-            out = d if out is None else out.unionByName(d)
-        return out
-
-    parts = [
-        dup(sources, "sources", "sources_pk", ["source_id"]),
-        dup(files, "files", "files_pk", ["file_id"]),
-        dup(files, "files", "files_source_date_unique", ["source_id", "file_date"]),
-        dup(rates, "exchange_rates", "exchange_rates_pk", ["currency", "rate_date"]),
-        nulls(sources, "sources", "source_id", ["source_id", "name", "download_url", "file_type", "schedule_time"]),
-        nulls(files, "files", "file_id", ["file_id", "source_id", "file_date", "status"]),
-        nulls(rates.withColumn("_k", F.concat_ws("|", "currency", F.col("rate_date").cast("string"))),
-              "exchange_rates", "_k", ["currency", "rate_date", "rate_to_usd"]),
-        files.where(~F.col("status").isin(*STATUSES))
-             .select(F.lit("files").alias("table_name"), F.lit("status_domain").alias("constraint_name"),
-                     F.col("file_id").alias("key"), F.lit(1).cast("long").alias("n_rows")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return (table_violations(sources, "sources", ["source_id"],
+                             ["source_id", "name", "download_url", "file_type", "schedule_time"], [("sources_pk", ["source_id"])])
+            .unionByName(table_violations(files, "files", ["file_id"], ["file_id", "source_id", "file_date", "status"],
+                                          [("files_pk", ["file_id"]), ("files_source_date_unique", ["source_id", "file_date"])],
+                                          [("status_domain", ~F.col("status").isin(*STATUSES))]))
+            .unionByName(table_violations(rates, "exchange_rates", ["currency", "rate_date"], ["currency", "rate_date", "rate_to_usd"],
+                                          [("exchange_rates_pk", ["currency", "rate_date"])])))
 
 
 def throughput(events: DataFrame, stats: DataFrame) -> DataFrame:

@@ -24,8 +24,9 @@ HEADER = "date,revenue,currency,product"
 RENDERED_CTE = f"""
 rendered as (
   select r.source_id, r.file_date, r.line_number, r.o_orderkey,
-         concat_ws(',', r.date_s, r.revenue_s, r.currency_s,
-                   case when f.status = 'failed' and r.line_number = 2 then concat(r.product, '"x') else r.product end) as value,
+         concat_ws(',', case when f.status = 'failed' and r.line_number = 2 then concat('x"', r.date_s) else r.date_s end,
+                   r.revenue_s, r.currency_s,
+                   case when r.product like '%"%' then concat('"', replace(r.product, '"', '""'), '"') else r.product end) as value,
          f.status as ledger_status
   from fx_raw_revenue r join fx_files f on f.source_id = r.source_id and f.file_date = r.file_date
   union all
@@ -39,10 +40,12 @@ def render_fixture_files(spark: SparkSession, sf_dir: str, corrupt: bool = True)
     raw = fixture(spark, sf_dir, "fx_raw_revenue")
     files = fixture(spark, sf_dir, "fx_files").select("source_id", "file_date", "status")
     rows = raw.join(files, ["source_id", "file_date"])
-    product = F.when(F.lit(corrupt) & (F.col("status") == "failed") & (F.col("line_number") == 2),
-                     F.concat(F.col("product"), F.lit('"x'))).otherwise(F.col("product"))
+    day = F.when(F.lit(corrupt) & (F.col("status") == "failed") & (F.col("line_number") == 2),
+                 F.concat(F.lit('x"'), F.col("date_s"))).otherwise(F.col("date_s"))
+    product = F.when(F.col("product").contains('"'), F.concat(F.lit('"'), F.replace("product", F.lit('"'), F.lit('""')), F.lit('"'))
+                     ).otherwise(F.col("product"))  # holds a line break
     body = rows.select("source_id", "file_date", "line_number",
-                       F.concat_ws(",", "date_s", "revenue_s", "currency_s", product).alias("value"))
+                       F.concat_ws(",", day, "revenue_s", "currency_s", product).alias("value"))
     head = files.select("source_id", "file_date", F.lit(1).cast("long").alias("line_number"),
                         F.lit(HEADER).alias("value"))
     return body.unionByName(head)
@@ -106,14 +109,14 @@ def q_landing_csv_scan(spark, sf_dir):
 select source_id, file_date,
        case when ledger_status = 'failed' then 'failed' else 'completed' end as status,
        case when ledger_status = 'failed' then 'malformed_record' end as reason,
-       cast(count(*) - 1 as bigint) as n_data_rows,
+       cast(case when ledger_status = 'failed' then 0 else count(*) - 1 end as bigint) as n_data_rows,
        cast(case when ledger_status = 'failed' then 2 end as bigint) as first_bad_line
 from rendered group by source_id, file_date, ledger_status""",
     "fx_raw_revenue", "fx_files", ctes=RENDERED_CTE))
 def q_file_outcomes(spark, sf_dir):
     """L8+L9+L10: per landed file, completed or failed with the first bad record."""
     root = landed_root(spark, sf_dir)
-    blocks = ld.materialize_blocks(ld.block_table(ld.read_lines(spark, root)))
+    _, blocks = ld.scan_landed_csv(spark, root)
     out = ld.file_outcomes(blocks, ld.list_files(spark, root))
     return with_keys(out).drop("file_path").select(
         "source_id", "file_date", "status", "reason", "n_data_rows", "first_bad_line")
@@ -124,7 +127,7 @@ content as (
   select source_id, file_date, string_agg(value || chr(10), '' order by line_number) as body,
          string_agg(clean || chr(10), '' order by line_number) as clean_body
   from (select *, case when ledger_status = 'failed' and line_number = 2
-                       then replace(value, '"x', '') else value end as clean from rendered) a
+                       then substr(value, 3) else value end as clean from rendered) a
   group by source_id, file_date
 )"""
 

@@ -233,7 +233,7 @@ APPENDED_RATES_CTE = """
 appended as (
   select currency, rate_date, rate_to_usd from fx_rates
   union all
-  select currency, rate_date, cast(1 as double) / api_rate from fx_rate_api where fetch_seq = 1 and api_rate <> 0
+  select currency, rate_date, cast(1 as double) / api_rate from fx_rate_api where api_rate <> 0
 )"""
 
 
@@ -258,11 +258,11 @@ where status not in ('downloaded', 'processing', 'completed', 'failed')""",
 def q_constraint_violations(spark, sf_dir):
     """NOT NULL / PK / UNIQUE / status-domain audit.
 
-    The rate table is audited as it would stand after appending the first
-    fetch without an upsert, which breaks its primary key.
+    The rate table is audited as it would stand after appending all fetches
+    without an upsert, which breaks its primary key.
     """
     from revenue_engine.operators.rates import invert_rates
-    api = fixture(spark, sf_dir, "fx_rate_api").where(F.col("fetch_seq") == 1)
+    api = fixture(spark, sf_dir, "fx_rate_api")
     appended = (fixture(spark, sf_dir, "fx_rates").select("currency", "rate_date", "rate_to_usd")
                 .unionByName(invert_rates(api).select("currency", "rate_date", "rate_to_usd")))
     return lg.constraint_violations(_sources(spark, sf_dir), _files(spark, sf_dir), appended)

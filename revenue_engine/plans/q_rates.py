@@ -68,15 +68,16 @@ def q_upsert_touched_rates(spark, sf_dir):
 @query("insert_absent_rates", with_fixtures("""
 select currency, rate_date, rate_to_usd from fx_rates
 union all
-select i.currency, i.rate_date, i.rate_to_usd from incoming i
-where i.seq = 1 and i.sub = 0
-  and not exists (select 1 from fx_rates r where r.currency = i.currency and r.rate_date = i.rate_date)""",
+select i.currency, i.rate_date, arg_min(i.rate_to_usd, i.seq) from incoming i
+where i.sub = 0
+  and not exists (select 1 from fx_rates r where r.currency = i.currency and r.rate_date = i.rate_date)
+group by i.currency, i.rate_date""",
     "fx_rates", "fx_rate_api", ctes=INCOMING_CTE))
 def q_insert_absent_rates(spark, sf_dir):
-    """L3: seed the first fetch's rates with ON CONFLICT DO NOTHING semantics."""
+    """L3: seed the rates of all fetches with ON CONFLICT DO NOTHING semantics; the first fetch of a key wins."""
     current = fixture(spark, sf_dir, "fx_rates").select("currency", "rate_date", "rate_to_usd")
     seed = (rt.incoming_rates(fixture(spark, sf_dir, "fx_rate_api"))
-            .where((F.col("seq") == 1) & (F.col("sub") == 0)))
+            .where(F.col("sub") == 0))
     return rt.insert_absent(current, seed)
 
 

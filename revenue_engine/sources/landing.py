@@ -194,6 +194,9 @@ def block_table(lines: DataFrame, required=REQUIRED_COLUMNS, splits: DataFrame |
 def file_outcomes(blocks: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
     """One row per file — ``completed`` or ``failed`` with the reason.
 
+    ``n_data_rows`` counts the data records before the first malformed one, at
+    which reading ends; where fields may hold line breaks, what follows a stray
+    quote has no defined number of records.
     Files without any record produce no text rows; pass the manifest
     (``list_files``) so they are reported as failed ``empty_file``.
     """
@@ -207,7 +210,8 @@ def file_outcomes(blocks: DataFrame, manifest: DataFrame | None = None) -> DataF
             .select("file_path",
                     F.when(F.col("reason").isNull(), F.lit("completed")).otherwise(F.lit("failed")).alias("status"),
                     "reason",
-                    F.coalesce(F.col("n_records") - 1, F.lit(0)).cast("long").alias("n_data_rows"),
+                    F.greatest(F.coalesce(F.least(F.col("n_records"), F.col("first_bad_line") - 1) - 1, F.lit(0)), F.lit(0))
+                    .cast("long").alias("n_data_rows"),
                     "first_bad_line"))
 
 

@@ -64,3 +64,25 @@ def test_throughput(spark):
                                   "file_id string, total_rows long, skipped_rows long")
     out = lg.throughput(ev, stats).collect()
     assert [(r.file_id, r.seconds, r.rows, r.rows_per_sec) for r in out] == [("f1", 2.0, 20000, 10000.0)]
+
+
+def test_every_constraint_check_fires(spark):
+    from revenue_engine.operators import ledger as lg
+    sources = spark.createDataFrame([("s1", "a", "u", "csv", "0"), ("s1", None, "u", "csv", "0"), (None, "c", None, None, None)],
+                                    "source_id string, name string, download_url string, file_type string, schedule_time string")
+    files = spark.createDataFrame([("f1", "s1", "2026-01-01", "completed"), ("f2", "s1", "2026-01-01", "odd"), ("f2", "s1", None, None),
+                                   (None, None, "2026-01-02", "failed"), (None, "s2", "2026-01-02", "failed")],
+                                  "file_id string, source_id string, file_date string, status string")
+    rates = spark.createDataFrame([("EUR", "d", 1.0), ("EUR", "d", 2.0), ("EUR", "d", 3.0), (None, "d", 1.0), ("d", None, None)],
+                                  "currency string, rate_date string, rate_to_usd double")
+    got = sorted((r.table_name, r.constraint_name, r.key, r.n_rows) for r in lg.constraint_violations(sources, files, rates).collect())
+    assert got == sorted([
+        ("sources", "sources_pk", "s1", 2), ("sources", "name_not_null", "s1", 1), ("sources", "source_id_not_null", "", 1),
+        ("sources", "download_url_not_null", "", 1), ("sources", "file_type_not_null", "", 1), ("sources", "schedule_time_not_null", "", 1),
+        ("files", "files_pk", "f2", 2), ("files", "files_pk", "", 2), ("files", "files_source_date_unique", "s1|2026-01-01", 2),
+        ("files", "status_domain", "f2", 1), ("files", "file_date_not_null", "f2", 1), ("files", "status_not_null", "f2", 1),
+        ("files", "file_id_not_null", "", 1), ("files", "file_id_not_null", "", 1), ("files", "source_id_not_null", "", 1),
+        ("exchange_rates", "exchange_rates_pk", "EUR|d", 3), ("exchange_rates", "currency_not_null", "d", 1),
+        ("exchange_rates", "rate_date_not_null", "d", 1), ("exchange_rates", "rate_to_usd_not_null", "d", 1)])
+    plan = lg.constraint_violations(sources, files, rates)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 3
