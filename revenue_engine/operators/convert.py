@@ -31,17 +31,15 @@ def classify_rows(raw: DataFrame, rates: DataFrame, date_col="date_s", revenue_c
     hold one row per key (see ``operators.rates.upsert_rates``).
     """
     parsed = parse_fields(raw, date_col, revenue_col, currency_col)
-    lookup = rates.select(F.col("currency").alias("_r_currency"),
-                          F.col("rate_date").alias("_r_date"),
+    lookup = rates.select("currency", F.col("rate_date").alias("revenue_date"),
                           F.col("rate_to_usd").cast("double").alias("rate_to_usd"))
-    cond = [parsed["currency"] == lookup["_r_currency"], parsed["revenue_date"] == lookup["_r_date"]]
-    joined = lookup_join(parsed, lookup, cond, "left", max_broadcast_rows)
+    joined = lookup_join(parsed, lookup, ["currency", "revenue_date"], "left", max_broadcast_rows)
     return (joined
             .withColumn("reason", F.coalesce(F.col("_pre_reason"),
                                              F.when(F.col("rate_to_usd").isNull(), F.lit(REASON_RATE))))
             .withColumn("usd_value", F.when(F.col("reason").isNull(),
                                             F.col("original_value") * F.col("rate_to_usd")))
-            .drop("_pre_reason", "_r_currency", "_r_date"))
+            .drop("_pre_reason"))
 
 
 ACCEPTED_COLUMNS = ("source_id", "file_date", "line_number", "revenue_date", "original_value",

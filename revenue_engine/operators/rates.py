@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revenue_engine.operators import versions as vs
+from revenue_engine.session import drop_stored, stored
+
 BASE_CURRENCY = "USD"
 
 
@@ -57,6 +60,22 @@ def touched_partitions(current: DataFrame, incoming: DataFrame) -> DataFrame:
     return current.join(dates, "rate_date", "left_semi")
 
 
+def rate_table(path: str) -> vs.Table:
+    return vs.Table(path, "currency string, rate_date date, rate_to_usd double", ("rate_date",))
+
+
+def merge_rates(spark: SparkSession, path: str, incoming: DataFrame) -> None:
+    """L1 on a stored table: the days that ``incoming`` names are upserted and replaced in one step.
+
+    Other days are neither read nor rewritten; a concurrent writer of the table makes this one fail whole.
+    """
+    table, base = rate_table(path), vs.snapshot(spark, rate_table(path))
+    incoming = stored(incoming, "rates-incoming")
+    current = touched_partitions(vs.read(spark, table, base), incoming)
+    vs.write(table, upsert_rates(current, incoming), incoming, base)
+    drop_stored(incoming)
+
+
 def insert_absent(current: DataFrame, seed: DataFrame, keys=("currency", "rate_date")) -> DataFrame:
     """L3: ``ON CONFLICT DO NOTHING`` — seed rows whose key is absent are appended.
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from revenue_engine.fixtures import AS_OF, fixture, register_base_tables, with_fixtures
 from revenue_engine.functions.paths import path_file_date, path_source_name
 from revenue_engine.operators import ledger as lg
+from revenue_engine.operators.convert import file_stats
 from revenue_engine.operators.ordering import global_row_number
 from revenue_engine.plans.catalog import query
+from revenue_engine.plans.q_convert import classified
 from revenue_engine.sources.jobs import decode_jobs, encode_jobs
 
 # Fixed parameter: the "today" of the due check — the last day of the data.
@@ -266,3 +268,19 @@ def q_constraint_violations(spark, sf_dir):
     appended = (fixture(spark, sf_dir, "fx_rates").select("currency", "rate_date", "rate_to_usd")
                 .unionByName(invert_rates(api).select("currency", "rate_date", "rate_to_usd")))
     return lg.constraint_violations(_sources(spark, sf_dir), _files(spark, sf_dir), appended)
+
+
+@query("throughput", with_fixtures("""
+select f.file_id, cast(5 * (10 + month(f.file_date)) as double) as seconds, cast(count(*) as bigint) as rows,
+       count(*) / cast(5 * (10 + month(f.file_date)) as double) as rows_per_sec
+from fx_files f join fx_raw_revenue r on r.source_id = f.source_id and r.file_date = f.file_date
+where f.status in ('completed', 'failed') group by f.file_id, f.file_date""", "fx_files", "fx_raw_revenue"))
+def q_throughput(spark, sf_dir):
+    """Time and rows per second of every ended file; an event's time follows from created_at and seq."""
+    files = _files(spark, sf_dir).select("file_id", "source_id", "file_date", "created_at")
+    pause = F.col("seq") * F.col("seq") * (F.month("file_date") + 10)
+    events = (_events(spark, sf_dir).join(files, "file_id")
+              .withColumn("at", F.timestamp_seconds(F.unix_timestamp("created_at") + pause)))
+    stats = (classified(spark, sf_dir).transform(file_stats)
+             .join(files, ["source_id", "file_date"]).select("file_id", "total_rows", "skipped_rows"))
+    return lg.throughput(events, stats).select("file_id", "seconds", "rows", "rows_per_sec")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from revenue_engine.fixtures import fixture, with_fixtures
 from revenue_engine.operators import rates as rt
+from revenue_engine.operators import versions as vs
 from revenue_engine.plans.catalog import query
 from revenue_engine.session import scratch_path
 from revenue_engine.sources import rate_payloads as rp
@@ -45,10 +46,11 @@ from (select currency, rate_date, rate_to_usd, cast(-1 as bigint) as seq, 0 as s
       union all select * from incoming) a
 group by currency, rate_date""", "fx_rates", "fx_rate_api", ctes=INCOMING_CTE))
 def q_upsert_rates(spark, sf_dir):
-    """L1+L2: the rate table after applying every fetch in order, USD forced to 1.0."""
-    current = fixture(spark, sf_dir, "fx_rates")
-    incoming = rt.incoming_rates(fixture(spark, sf_dir, "fx_rate_api"))
-    return rt.upsert_rates(current, incoming)
+    """L1+L2: the stored rate table after applying every fetch in order, USD forced to 1.0, read back."""
+    path = scratch_path(spark, "rate-table")
+    vs.write(rt.rate_table(path), fixture(spark, sf_dir, "fx_rates"))
+    rt.merge_rates(spark, path, rt.incoming_rates(fixture(spark, sf_dir, "fx_rate_api")))
+    return vs.read(spark, rt.rate_table(path))
 
 
 @query("upsert_touched_rates", with_fixtures("""
