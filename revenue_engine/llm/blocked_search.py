@@ -55,6 +55,7 @@ UNIT = 4096  # summaries are rounded up to multiples, one byte each: 4096 * 255
 BATCH_TERMS = 60_000
 PIECE = 1 << 20  # bytes of a long text handled at once
 BATCH_BYTES = 8 << 20  # of texts or shards handed to a worker at once
+SLICE_DOCS = 128  # documents projected at once
 CELLS = 1 << 18  # summary cells filled at once
 
 _KEEP = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
@@ -155,7 +156,12 @@ def build_shard(ptr: np.ndarray, tid: np.ndarray, imp: np.ndarray, weights: np.n
     """Cluster the posting list of every term and summarise its blocks."""
     n_docs, size = len(ptr) - 1, len(weights)
     turn = np.random.default_rng(7).choice(np.array([-1, 1], np.float32), (size, DIMENSIONS))
-    sketch = np.add.reduceat(turn[tid] * (weights[tid] * imp).astype(np.float32)[:, None], ptr[:-1], axis=0)
+    sketch = np.empty((n_docs, DIMENSIONS), np.float32)
+    for a in range(0, n_docs, SLICE_DOCS):
+        z = min(a + SLICE_DOCS, n_docs)
+        own = slice(ptr[a], ptr[z])
+        size_of = (weights[tid[own]] * imp[own]).astype(np.float32)
+        sketch[a:z] = np.add.reduceat(turn[tid[own]] * size_of[:, None], ptr[a:z] - ptr[a], axis=0)
     sketch /= np.maximum(np.linalg.norm(sketch, axis=1, keepdims=True), 1e-30)
     doc = np.repeat(np.arange(n_docs), np.diff(ptr))
     order = np.argsort(tid, kind="stable")
