@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from revenue_engine.llm.common import arrow_batches, drop_stored, stored
 from revenue_engine.session import scratch_path
 
-SHARD_DOCS = 2048
+SHARD_DOCS = 1024
 BLOCK_DOCS = 128  # documents a block is aimed at
 DIMENSIONS = 32  # of the projections that similarity is taken from
 UNIT = 4096  # summaries are rounded up to multiples, one byte each: 4096 * 255 is above every impact
