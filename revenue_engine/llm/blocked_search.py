@@ -329,7 +329,8 @@ def build_index(forward: DataFrame, stats: Statistics) -> DataFrame:
     path = scratch_path(forward.sparkSession, "search-shards")
     # A row is a whole shard: row groups of one or a few keep what a reader holds at once small.
     (shards.write.option("compression", "none").option("parquet.block.size", 8 << 20)
-     .option("parquet.block.size.row.check.min", 1).option("parquet.block.size.row.check.max", 1).parquet(path))
+     .option("parquet.page.size.row.check.min", 1).option("parquet.page.size.row.check.max", 1)
+     .option("parquet.block.row.count.limit", 2).parquet(path))
     out = forward.sparkSession.read.schema(shards.schema).parquet(path)
     out._stored_path = path
     return out
