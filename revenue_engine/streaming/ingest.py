@@ -20,9 +20,11 @@ R4  Running file counts per status, and running row counts per file: a
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -35,6 +37,7 @@ from revenue_engine.operators import versions as vs
 from revenue_engine.session import drop_stored, stored
 from revenue_engine.sources import landing as ld
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
 
 # Outcomes of files that are not scanned, and the events of a file's life.
 DUPLICATE, BAD_PATH = "duplicate", "unparsable_path"
