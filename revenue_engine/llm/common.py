@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,16 +29,41 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_path = path
+    for made in _SCOPES:
+        made.add(path)
     return out
 
 
 def drop_stored(df: DataFrame) -> None:
     """Delete the folder behind a ``stored`` table that nothing reads any more."""
-    path = getattr(df, "_stored_path", None)
+    _delete(df.sparkSession, getattr(df, "_stored_path", None))
+
+
+def _delete(spark: SparkSession, path: str | None) -> None:
     if path:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+_SCOPES: list[set[str]] = []
+
+
+def stored_alone(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``make()`` as a ``stored`` table; every table stored on the way to it is deleted once it is written.
+
+    A failure deletes them as well.
+    """
+    made: set[str] = set()
+    _SCOPES.append(made)
+    kept = None
+    try:
+        out = stored(make(), name)
+        kept = out._stored_path
+        return out
+    finally:
+        _SCOPES.remove(made)
+        for path in made - {kept}:
+            _delete(spark, path)
 
 
 @contextlib.contextmanager

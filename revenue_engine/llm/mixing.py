@@ -101,6 +101,9 @@ def tilts(sizes: DataFrame, targets: DataFrame, cap: int = CAP) -> DataFrame:
                        (F.col("done") | F.coalesce("_stop", F.lit(True))).alias("done")))
         old, state = state, stored(new, "mix-state")
         drop_stored(old)
+    else:
+        if not state.where(~F.col("done")).isEmpty():
+            raise RuntimeError(f"the tilts of some sources did not converge in {MAX_STEPS} steps")
     return state
 
 
@@ -156,6 +159,9 @@ def balanced_copies(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
 
 def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it has copies."""
-    out = balanced_copies(docs, weights, share, cap).where("copies > 0")
+    # Columns that are not read pass under other names, so that none is taken for one of the result.
+    names = [c if c in ("doc_id", "source", "text") else f"_c{i}" for i, c in enumerate(docs.columns)]
+    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)])
+    out = balanced_copies(plain, weights, share, cap).where("copies > 0")
     return (out.withColumn("_copy", F.explode(F.expr("sequence(1L, copies)")))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+            .select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)]))

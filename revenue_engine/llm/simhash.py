@@ -123,7 +123,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, text: str = "text", max_p
 def keep_one_of_each(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component the row with the smallest id.
 
-    Rows that repeat an id stay once. A component without any id keeps one row.
+    Rows that repeat an id stay once; of different texts with that id, the one with the smallest hash.
+    A component without any id keeps one row in the same way.
     """
     fps = stored(with_fingerprint(docs, shingle, text)
                  .select(F.col("_row.doc_id").cast("long").alias("doc_id"), "fp"), "simhash-fps")
@@ -134,4 +135,5 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 3, text: str = "text") -> D
         return docs.join(named, docs["doc_id"] == named["component_id"], "left_semi")
     rows = with_fingerprint(docs, shingle, text).join(comp, "fp")
     return (rows.where(F.col("_row.doc_id").eqNullSafe(F.col("component_id")))
-            .dropDuplicates(["root"]).select("_row.*"))
+            .groupBy("root").agg(F.min_by("_row", F.struct(F.xxhash64("_row.text"), F.col("_row.text"))).alias("_row"))
+            .select("_row.*"))

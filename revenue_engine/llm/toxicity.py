@@ -177,9 +177,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     sample = (labels.where("toxic is not null and doc_id is not null").groupBy("doc_id")
               .agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
     sample = stored(sample, "toxic-sample")
-    # At most ``sample_rows`` rows are broadcast; texts are not shuffled. A text counts once.
+    # At most ``sample_rows`` rows are broadcast; texts are not shuffled. A text counts once, toxic if any of its labels is.
     rows = stored(docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(sample), "doc_id")
-                  .withColumn("key", F.sha2("text", 256)).dropDuplicates(["key"]).select("text", "toxic")
+                  .groupBy(F.sha2("text", 256).alias("key")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
+                  .select("text", "toxic")
                   .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "toxic-rows")
     by = {r["toxic"] > 0: r["n"] for r in rows.groupBy(F.col("toxic").alias("toxic"))
           .agg(F.count(F.lit(1)).alias("n")).collect()}
