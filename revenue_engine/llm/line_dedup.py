@@ -1,14 +1,23 @@
 """Line dedup: an exact set-similarity join over lines, with prefix filtering.
 
 A line's tokens are its five-word shingles, as hashes. Two lines match at a
-Jaccard similarity of ``SIMILARITY`` or more. Tokens are ordered by rarity: a
-count sketch of fixed size gives every token a frequency class, ties go by
-hash, so frequent passages leave the prefixes. Similar lines must share a
-token of their prefixes (prefix filter), have close sizes (length filter) and
-enough tokens left after the shared one (positional filter); what passes is
-verified on the whole sets. A line is removed if an earlier line of the input
-matches it; earlier is the smaller (doc_id, text hash, line number). Document
-and text hash key a row, so different texts of one id, or of none, stay apart.
+Jaccard similarity of ``SIMILARITY`` or more. Similar lines share a token of
+their prefixes under any one order of the tokens, which is used twice:
+
+1. Ordered by hash, a prefix is the first fifth of a line's tokens. A line
+   none of whose prefix tokens stands in another line's prefix matches nothing
+   and leaves; most lines do, for a fifth of the tokens shuffled.
+2. Among the lines left, tokens are ordered by rarity: their exact count, ties
+   by hash. Tokens of one line alone come first and are only counted, so
+   frequent passages leave the prefixes. Lines that share a prefix token must
+   have close sizes (length filter), enough tokens left after the shared one
+   (positional filter), and the shared token in the shorter prefix that
+   suffices for the smaller of the two. What passes is verified on the whole
+   sets.
+
+A line is removed if an earlier line of the input matches it; earlier is the
+smaller (doc_id, text hash, line number). Document and text hash key a row, so
+different texts of one id, or of none, stay apart.
 
 Equal lines are one class with its first place, so copies never meet in pairs.
 Each class is compared with the earliest holder of each of its prefix tokens
@@ -17,10 +26,12 @@ first; only classes this leaves unmatched meet every earlier holder.
 A line of one to four words has its whole word sequence as its one token: equal
 ones are one class, whose first place stays, and it matches nothing else.
 
-Native expressions only. Defined results: a line without words is never
-removed; A-Z are lower-cased for the comparison only; null texts stay
-null and have no lines; rows that repeat an id and its text share its removals;
-null ids come last in order; an empty table gives an empty one; other columns pass.
+Texts are split and hashed once; the token sets are kept in a table until the
+lines that can match are known. Native expressions only. Defined results: a
+line without words is never removed; A-Z are lower-cased for the comparison
+only; null texts stay null and have no lines; rows that repeat an id and its
+text share its removals; null ids come last in order; an empty table gives an
+empty one; ``n_chars`` follows the text, other columns pass.
 """
 
 from __future__ import annotations
@@ -32,7 +43,6 @@ from revenue_engine.llm.common import drop_stored, stored
 
 WORDS = 5
 SIMILARITY = 0.8
-SKETCH_BITS = 16  # the rarity sketch has 2^16 counters; its size does not depend on the data
 LAST = (1 << 63) - 1
 
 
@@ -64,111 +74,123 @@ def _keys():
     return F.xxhash64("hashes").alias("k1"), F.xxhash64(F.lit(7), F.col("hashes")).alias("k2")
 
 
-def _tokenized(lines: DataFrame, *columns) -> DataFrame:
-    """``columns`` of the lines and ``tokens``: the distinct shingles, none for lines of fewer than ``WORDS`` words."""
+def _tokenized(lines: DataFrame) -> DataFrame:
+    """(id, rk, line, k1, k2, tokens): the distinct shingles by hash, none for lines of fewer than ``WORDS`` words."""
     def shingle(h, i):
         for k in range(1, WORDS):
             h = h.bitwiseXOR(F.shiftleft(F.get(F.col("hashes"), i + k), 3 * k))
         return h
 
     starts = F.slice("hashes", 1, F.size("hashes") - (WORDS - 1))
-    tokens = F.when(F.size("hashes") >= WORDS, F.array_distinct(F.transform(starts, shingle)))
-    return lines.select(*columns, F.coalesce(tokens, F.array().cast("array<long>")).alias("tokens"))
+    tokens = F.when(F.size("hashes") >= WORDS, F.sort_array(F.array_distinct(F.transform(starts, shingle))))
+    return lines.select("id", "rk", "line", *_keys(), F.coalesce(tokens, F.array().cast("array<long>")).alias("tokens"))
 
 
-def _counter(token):
-    # The high bits depend on all words of the shingle.
-    return F.shiftrightunsigned(token, 64 - SKETCH_BITS)
+def _prefix(size: Column, overlap: float) -> Column:
+    """Length of the prefix of which a set of ``size`` must share a token, if it shares ``overlap`` of its size."""
+    return (size - F.ceil(size * F.lit(overlap) - 1e-9) + 1).cast("int")
 
 
-def _sketch(lines: DataFrame) -> Column:
-    """The frequency class of every counter of the sketch, as one constant array.
-
-    A joined row would be copied for every line; the 2^16 counters, however large the
-    data, pass through the driver instead.
-    """
-    # explode() would put a filter on the size of the tokens below the projections, and shingle every line again there.
-    counts = (_tokenized(lines).select(F.explode_outer("tokens").alias("t")).where("t is not null").groupBy(_counter(F.col("t")).alias("b"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    levels = dict(counts.select("b", F.ceil(F.log2(F.col("n") + 1.0))).collect())
-    text = ",".join(str(levels.get(b, 0)) for b in range(1 << SKETCH_BITS))
-    return F.split(F.lit(text), ",").cast("array<tinyint>")
+def _matchable(lines: DataFrame, similarity: float) -> DataFrame:
+    """Stored (node, k1, k2, place, size, tokens): classes of lines with a prefix token, by hash, of another class."""
+    posts = (lines.where(F.size("tokens") > 0)
+             .select("k1", F.explode(F.slice("tokens", 1, _prefix(F.size("tokens"), similarity))).alias("token")))
+    # The smallest and the largest holder tell whether there are two, and combine before the shuffle.
+    shared = posts.groupBy("token").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).where("a <> b").select("token")
+    near = stored(posts.join(shared, "token", "left_semi").select("k1").distinct(), "line-near")
+    classes = (lines.where(F.size("tokens") > 0).join(near, "k1", "left_semi").groupBy("k1", "k2")
+               .agg(F.min(F.struct("id", "rk", "line")).alias("place"), F.first("tokens").alias("tokens")))
+    out = stored(classes.select(F.monotonically_increasing_id().alias("node"), "k1", "k2", "place",
+                                F.size("tokens").alias("size"), "tokens"), "line-matchable")
+    drop_stored(near)
+    return out
 
 
-def _ordered(tokens, classes):
-    """Tokens by rarity: frequency class in the high bits, then the hash."""
-    return F.sort_array(F.transform(tokens, lambda t: F.shiftleft(F.get(classes, _counter(t).cast("int")).cast("long"), 56)
-                                    .bitwiseOR(F.shiftrightunsigned(t, 8))))
+def _postings(nodes: DataFrame, similarity: float) -> DataFrame:
+    """Stored (node, place, size, token, pos, short): prefix tokens by rarity that several classes hold.
 
-
-def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(id, rk, removed: array<int>, lines): removed line numbers, and the count of lines compared, of each row key."""
-    lines = _lines(docs)
-    levels = _sketch(lines)
-    num = F.size("tokens")
-    # |x and y| >= s |x or y| needs a common token among the first |x| - ceil(s |x|) + 1.
-    prefix = (num - F.ceil(num * F.lit(similarity) - 1e-9) + 1).cast("int")
-    keyed = (_tokenized(lines, "id", "rk", "line", *_keys())
-             .select("id", "rk", "line", "k1", "k2", num.alias("size"), prefix.alias("kept"),
-                     _ordered(F.col("tokens"), levels).alias("tokens"))
-             .select("id", "rk", "line", "k1", "k2", "size", F.slice("tokens", 1, F.col("kept")).alias("prefix")))
-    # The one token of a line of few words is its key, so its class is whole here and needs no pairs.
-    classes = stored(keyed.groupBy("k1", "k2").agg(F.min(F.struct("id", "rk", "line")).alias("place"),
-                                                   F.first("size").alias("size"), F.first("prefix").alias("prefix")),
-                     "line-classes")
-    posts = classes.where("size > 0").select("place", "size", F.posexplode("prefix").alias("pos", "token"))
-    # Tokens with one holder match nothing.
-    shared = posts.groupBy("token").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1").select("token")
-    shared = stored(posts.join(shared, "token", "left_semi"), "line-shared")
-    heads = shared.groupBy("token").agg(F.min(F.struct("place", "size", "pos")).alias("head"))
-    met = stored(shared.join(heads, "token"), "line-met")
-    drop_stored(shared)
-
-    def passes(size, pos):
-        both = F.col("size") + size
+    ``short`` marks the shorter prefix, in which the smaller set of a pair, or either of equal sizes, holds the token.
+    """
+    posts = nodes.select("node", F.explode("tokens").alias("token"))
+    counts = posts.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    ranked = posts.join(counts, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("held"))
+    # Tokens of one class come first in its order; only their number matters.
+    alone = F.col("size") - F.size("held")
+    left = F.greatest(_prefix(F.col("size"), similarity) - alone, F.lit(0))
+    short = _prefix(F.col("size"), 2 * similarity / (1 + similarity))
+    return stored(nodes.select("node", "place", "size").join(ranked, "node")
+                  .select("node", "place", "size", alone.alias("alone"), short.alias("short"), F.posexplode(F.slice("held", F.lit(1), left)).alias("at", "t"))
+                  .select("node", "place", "size", F.col("t.token").alias("token"), (F.col("alone") + F.col("at")).alias("pos"),
+                          (F.col("alone") + F.col("at") < F.col("short")).alias("short")), "line-postings")
+
+
+def candidate_pairs(posts: DataFrame, others: DataFrame, similarity: float) -> DataFrame:
+    """(x, y) of ``posts`` as y and earlier ``others`` as x that share a token and pass the filters; pairs may repeat."""
+    x = others.select("token", *[F.col(c).alias(f"x{c}") for c in ("node", "place", "size", "pos", "short")])
+
+    def passing(y, x, fits):
+        both = F.col("size") + F.col("xsize")
         need = F.ceil(both * F.lit(similarity / (1 + similarity)) - 1e-9)
-        left = F.least(F.col("size") - F.col("pos"), size - pos)
-        return (F.least("size", size) >= F.greatest("size", size) * F.lit(similarity) - 1e-9) & (left >= need)
-
-    first = (met.where(F.col("head.place") < F.col("place")).where(passes(F.col("head.size"), F.col("head.pos")))
-             .select(F.col("head.place").alias("x"), F.col("place").alias("y")).distinct())
-    gone = _verified(docs, stored(first, "line-first"), similarity)
-    rest = met.join(gone.withColumnRenamed("y", "place"), "place", "left_anti")
-    others = met.select("token", F.col("place").alias("x"), F.col("size").alias("xsize"), F.col("pos").alias("xpos"))
-    second = (rest.join(others, "token").where(F.col("x") < F.col("place"))
-              .where(passes(F.col("xsize"), F.col("xpos"))).select("x", F.col("place").alias("y")).distinct())
-    # x stands before y and holds a shared token, but is not its earliest holder: those were compared.
-    second = second.join(first, ["x", "y"], "left_anti")
-    gone = stored(gone.unionByName(_verified(docs, stored(second, "line-second"), similarity)), "line-gone")
+        left = F.least(F.col("size") - F.col("pos"), F.col("xsize") - F.col("xpos"))
+        close = F.least("size", "xsize") >= F.greatest("size", "xsize") * F.lit(similarity) - 1e-9
+        return (y.join(x, "token").where((F.col("xplace") < F.col("place")) & fits & close & (left >= need))
+                .select(F.col("xnode").alias("x"), F.col("node").alias("y")))
 
-    # Of a class only its first place can stay, unless an earlier class matched it.
-    fates = (classes.select("k1", "k2", "place").join(gone.select(F.col("y").alias("place"), F.lit(True).alias("gone")), "place", "left")
-             .select("k1", "k2", F.when(F.col("gone").isNull(), F.col("place")).alias("place")))
-    marked = (lines.select("id", "rk", "line", *_keys()).join(fates, ["k1", "k2"])
-              .withColumn("out", F.col("place").isNull() | (F.struct("id", "rk", "line") != F.col("place"))))
-    return marked.groupBy("id", "rk").agg(
-        F.array_sort(F.collect_set(F.when(F.col("out"), F.col("line")))).alias("removed"),
-        F.count_distinct("line").alias("lines"))
+    # One side of every join is the short prefixes, which hold next to no frequent token of unlike lines.
+    return (passing(posts, x.where("xshort"), F.col("xsize") <= F.col("size"))
+            .unionByName(passing(posts.where("short"), x, F.col("xsize") > F.col("size"))))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+def _verified(nodes: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """Distinct ``y`` of the pairs whose whole token sets are similar enough."""
-    places = stored(pairs.select(F.col("x").alias("place")).unionByName(pairs.select(F.col("y").alias("place"))).distinct(),
-                    "line-places")
-    keys = places.select("place.id", "place.rk").distinct()
-    near = docs.select("doc_id", "text", *row_key(docs)).join(keys, ["id", "rk"], "left_semi").select("doc_id", "text")
-    sets = stored(_tokenized(_lines(near).withColumn("place", F.struct("id", "rk", "line")).join(places, "place"), "place")
-                  .dropDuplicates(["place"]), "line-sets")
-    a = sets.select(F.col("place").alias("x"), F.col("tokens").alias("xt"))
-    b = sets.select(F.col("place").alias("y"), F.col("tokens").alias("yt"))
+    a = nodes.select(F.col("node").alias("x"), F.col("tokens").alias("xt"))
+    b = nodes.select(F.col("node").alias("y"), F.col("tokens").alias("yt"))
     common = F.size(F.array_intersect("xt", "yt"))
     return (pairs.join(a, "x").join(b, "y")
             .where(common >= (F.size("xt") + F.size("yt") - common) * F.lit(similarity) - 1e-9).select("y").distinct())
 
 
+def _matched(nodes: DataFrame, similarity: float) -> DataFrame:
+    """Stored (node): classes whose first place an earlier class matches."""
+    posts = _postings(nodes, similarity)
+    heads = (posts.groupBy("token").agg(F.min(F.struct("place", "node", "size", "pos", "short")).alias("h"), F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select("token", "h.*"))
+    first = stored(candidate_pairs(posts, heads, similarity).distinct(), "line-first")
+    gone = stored(_verified(nodes, first, similarity).withColumnRenamed("y", "node"), "line-gone")
+    rest = posts.join(gone, "node", "left_anti")
+    # x stands before y and holds a shared token, but is not its earliest holder: those were compared.
+    second = candidate_pairs(rest, posts, similarity).distinct().join(first, ["x", "y"], "left_anti")
+    second = stored(second, "line-second")
+    out = stored(gone.unionByName(_verified(nodes, second, similarity).withColumnRenamed("y", "node")), "line-matched")
+    for t in (posts, first, gone, second):
+        drop_stored(t)
+    return out
+
+
+def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Stored (id, rk, removed: array<int>): removed line numbers of each row key that loses lines."""
+    lines = stored(_tokenized(_lines(docs)), "line-sets")
+    nodes = _matchable(lines, similarity)
+    keys = stored(lines.select("id", "rk", "line", "k1", "k2"), "line-keys")
+    drop_stored(lines)
+    matched = _matched(nodes, similarity)
+    gone = nodes.join(matched, "node", "left_semi").select("k1", "k2", F.lit(True).alias("gone"))
+    # Of a class only its first place can stay, unless an earlier class matched it. The one token of a line of few
+    # words is its key, so its class is whole here and needs no pairs.
+    fates = (keys.groupBy("k1", "k2").agg(F.min(F.struct("id", "rk", "line")).alias("place"), F.count(F.lit(1)).alias("n"))
+             .join(gone, ["k1", "k2"], "left").where("n > 1 or gone")
+             .select("k1", "k2", F.when(F.col("gone").isNull(), F.col("place")).alias("place")))
+    out = (keys.join(fates, ["k1", "k2"]).where(F.col("place").isNull() | (F.struct("id", "rk", "line") != F.col("place")))
+           .groupBy("id", "rk").agg(F.array_sort(F.collect_set("line")).alias("removed")))
+    out = stored(out, "line-removed")
+    for t in (keys, nodes, matched):
+        drop_stored(t)
+    return out
+
+
 def without_repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with the removed lines cut from ``text``; all rows and columns stay."""
-    gone = removed_lines(docs, similarity).where(F.size("removed") > 0).select(F.col("id").alias("_gone_id"), F.col("rk").alias("_gone_rk"), "removed")
+    gone = removed_lines(docs, similarity).select(F.col("id").alias("_gone_id"), F.col("rk").alias("_gone_rk"), "removed")
     cols = [F.col(f"`{c}`") for c in docs.columns]
     id_, rk = row_key(docs)
     rows = docs.select(F.struct(*cols).alias("_row"), id_.alias("_id"), rk.alias("_rk"))
