@@ -26,8 +26,8 @@ first; only classes this leaves unmatched meet every earlier holder.
 A line of one to four words has its whole word sequence as its one token: equal
 ones are one class, whose first place stays, and it matches nothing else.
 
-Texts are split and hashed once; the token sets are kept in a table until the
-lines that can match are known. Native expressions only. Defined results: a
+Whole token sets are made, from a second reading of the texts, for the lines
+that can match alone. Native expressions only. Defined results: a
 line without words is never removed; A-Z are lower-cased for the comparison
 only; null texts stay null and have no lines; rows that repeat an id and its
 text share its removals; null ids come last in order; an empty table gives an
@@ -53,7 +53,7 @@ def row_key(docs: DataFrame) -> tuple[Column, Column]:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(id, rk, line, hashes) of every line with words: hashes of its words.
+    """(id, rk, line, raw, hashes) of every line with words: its folded text and the hashes of its words.
 
     The comparison works on the UTF-8 bytes read as Latin-1 and lower-cased: A-Z change,
     and other characters stay different from each other, as the number of continuation
@@ -65,8 +65,11 @@ def _lines(docs: DataFrame) -> DataFrame:
     # Keyed before the split: beside a generator the text would be hashed again for every line.
     texts = docs.select(*row_key(docs), folded.alias("folded"))
     raw = texts.select("id", "rk", F.posexplode_outer(F.split("folded", "\n")).alias("line", "raw")).where(F.length(F.trim("raw")) > 0)
-    words = F.array_remove(F.split("raw", " "), "")
-    return raw.select("id", "rk", "line", F.transform(words, lambda w: F.xxhash64(w)).alias("hashes"))
+    return raw.select("id", "rk", "line", "raw", _hashes(F.col("raw")).alias("hashes"))
+
+
+def _hashes(raw: Column) -> Column:
+    return F.transform(F.array_remove(F.split(raw, " "), ""), lambda w: F.xxhash64(w))
 
 
 def _keys():
@@ -74,8 +77,8 @@ def _keys():
     return F.xxhash64("hashes").alias("k1"), F.xxhash64(F.lit(7), F.col("hashes")).alias("k2")
 
 
-def _tokenized(lines: DataFrame) -> DataFrame:
-    """(id, rk, line, k1, k2, tokens): the distinct shingles by hash, none for lines of fewer than ``WORDS`` words."""
+def _tokens() -> Column:
+    """The distinct shingles of ``hashes`` in order, none for lines of fewer than ``WORDS`` words."""
     def shingle(h, i):
         for k in range(1, WORDS):
             h = h.bitwiseXOR(F.shiftleft(F.get(F.col("hashes"), i + k), 3 * k))
@@ -83,7 +86,7 @@ def _tokenized(lines: DataFrame) -> DataFrame:
 
     starts = F.slice("hashes", 1, F.size("hashes") - (WORDS - 1))
     tokens = F.when(F.size("hashes") >= WORDS, F.sort_array(F.array_distinct(F.transform(starts, shingle))))
-    return lines.select("id", "rk", "line", *_keys(), F.coalesce(tokens, F.array().cast("array<long>")).alias("tokens"))
+    return F.coalesce(tokens, F.array().cast("array<long>"))
 
 
 def _prefix(size: Column, overlap: float) -> Column:
@@ -91,15 +94,16 @@ def _prefix(size: Column, overlap: float) -> Column:
     return (size - F.ceil(size * F.lit(overlap) - 1e-9) + 1).cast("int")
 
 
-def _matchable(lines: DataFrame, similarity: float) -> DataFrame:
+def _matchable(lines: DataFrame, prefixes: DataFrame) -> DataFrame:
     """Stored (node, k1, k2, place, size, tokens): classes of lines with a prefix token, by hash, of another class."""
-    posts = (lines.where(F.size("tokens") > 0)
-             .select("k1", F.explode(F.slice("tokens", 1, _prefix(F.size("tokens"), similarity))).alias("token")))
+    posts = prefixes.select("k1", F.explode("prefix").alias("token"))
     # The smallest and the largest holder tell whether there are two, and combine before the shuffle.
     shared = posts.groupBy("token").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).where("a <> b").select("token")
     near = stored(posts.join(shared, "token", "left_semi").select("k1").distinct(), "line-near")
-    classes = (lines.where(F.size("tokens") > 0).join(near, "k1", "left_semi").groupBy("k1", "k2")
-               .agg(F.min(F.struct("id", "rk", "line")).alias("place"), F.first("tokens").alias("tokens")))
+    classes = (lines.select("id", "rk", "line", *_keys(), "raw").join(near, "k1", "left_semi").groupBy("k1", "k2")
+               .agg(F.min(F.struct("id", "rk", "line", "raw")).alias("m"))
+               .select("k1", "k2", F.struct("m.id", "m.rk", "m.line").alias("place"), _hashes(F.col("m.raw")).alias("hashes"))
+               .select("k1", "k2", "place", _tokens().alias("tokens")))
     out = stored(classes.select(F.monotonically_increasing_id().alias("node"), "k1", "k2", "place",
                                 F.size("tokens").alias("size"), "tokens"), "line-matchable")
     drop_stored(near)
@@ -169,10 +173,13 @@ def _matched(nodes: DataFrame, similarity: float) -> DataFrame:
 
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Stored (id, rk, removed: array<int>): removed line numbers of each row key that loses lines."""
-    lines = stored(_tokenized(_lines(docs)), "line-sets")
-    nodes = _matchable(lines, similarity)
-    keys = stored(lines.select("id", "rk", "line", "k1", "k2"), "line-keys")
-    drop_stored(lines)
+    lines = _lines(docs)
+    prefixes = stored(lines.select("id", "rk", "line", *_keys(), _tokens().alias("tokens"))
+                      .select("id", "rk", "line", "k1", "k2", F.slice("tokens", F.lit(1), _prefix(F.size("tokens"), similarity)).alias("prefix")),
+                      "line-prefixes")
+    keys = stored(prefixes.select("id", "rk", "line", "k1", "k2"), "line-keys")
+    nodes = _matchable(lines, prefixes)
+    drop_stored(prefixes)
     matched = _matched(nodes, similarity)
     gone = nodes.join(matched, "node", "left_semi").select("k1", "k2", F.lit(True).alias("gone"))
     # Of a class only its first place can stay, unless an earlier class matched it. The one token of a line of few
