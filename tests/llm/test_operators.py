@@ -343,3 +343,34 @@ def test_pipeline_stages(spark):
     pieces = corpus_pipeline.run(spark, SF_SMALL).collect()
     assert pieces and {r.doc_id for r in pieces}.isdisjoint(toxic)
     assert max(r.offset + r.length for r in pieces) <= 1024
+
+
+def test_line_dedup_with_a_frequent_passage(spark, monkeypatch):
+    """Lines that share a passage, with every share of own words, meet in few pairs and lose none that match."""
+    r = random.Random(11)
+    passage = [f"p{i}" for i in range(40)]
+    texts = []
+    for n in range(1200):
+        own = [f"u{r.randrange(1 << 40)}" for _ in range(r.choice([0, 1, 2, 3, 5, 8, 13, 20, 40]))]
+        at = r.randrange(41)
+        texts.append(" ".join(passage[:at] + own + passage[at:]))
+        if n % 50 == 0:
+            texts.append(texts[-1] + " tail")
+    met, pairs = [], line_dedup.candidate_pairs
+
+    def counted(posts, others, similarity):
+        out = pairs(posts, others, similarity).distinct()
+        met.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "candidate_pairs", counted)
+    seen, want = [], set()
+    for i, t in enumerate(texts):
+        w = t.split()
+        s = {tuple(w[a:a + 5]) for a in range(len(w) - 4)}
+        if any(len(s & o) >= 0.8 * len(s | o) - 1e-9 for o in seen):
+            want.add(i)
+        seen.append(s)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {x.id for x in line_dedup.removed_lines(df).collect()} == want and 24 < len(want) < len(texts)
+    assert len(met) == 2 and sum(met) < 20 * len(texts), met
