@@ -22,11 +22,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the cluster-shared folder and read it back.
 
     Cuts the lineage at a durable copy, so a lost executor costs a re-read
-    and never a recomputation, and gives the optimizer true sizes.
+    and never a recomputation, and gives the optimizer true sizes. Shuffle
+    files of the write are deleted with its end.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_path = path
     for made in _SCOPES:
@@ -69,9 +71,15 @@ def stored_alone(spark: SparkSession, make: Callable[[], DataFrame], name: str)
 @contextlib.contextmanager
 def arrow_batches(spark: SparkSession, size: int):
     """Jobs run inside hand rows of large binaries to Python workers in batches of about ``size`` bytes."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    with setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(size)):
+        yield
+
+
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """Jobs run inside see ``value`` for ``key``."""
     old = spark.conf.get(key)
-    spark.conf.set(key, str(size))
+    spark.conf.set(key, value)
     try:
         yield
     finally:

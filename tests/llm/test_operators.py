@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -197,6 +198,51 @@ def test_suffix_dedup_keeps_null_and_repeated_ids_apart(spark, monkeypatch):
         assert got in ({*rest, data[2], (7, own[3])}, {*rest, (7, own[2]), data[3]})
 
 
+def test_suffix_dedup_writes_bytes_of_meeting_places_only(spark, monkeypatch):
+    r = random.Random(12)
+    phrases = ["".join(r.choice("abcdefgh ") for _ in range(n)) for n in (30, 40, 50, 52)]
+    def apart(n):  # phrases repeat, no 62 bytes do
+        return "".join(r.choice(phrases) + "".join(r.choice("ijklmnop") for _ in range(8)) for _ in range(n))
+    sizes, keep = {}, suffix_dedup.stored
+    def counted(df, name):
+        out = keep(df, name)
+        sizes[name] = out.count()
+        return out
+    monkeypatch.setattr(suffix_dedup, "stored", counted)
+    plain = [(i, apart(12)) for i in range(20)]
+    df = spark.createDataFrame(plain, "doc_id long, text string")
+    assert all(x.n_removed == 0 for x in suffix_dedup.without_repeats(df).collect())
+    assert sizes["suffix-classes"] > 100 and sizes["suffix-met"] == 0
+
+    passages = [apart(3)[:n] for n in (99, 100, 101, 120, 170)]
+    data = [(i, apart(2) + r.choice(passages) + apart(1) + r.choice(passages)) for i in range(40)]
+    seen, want = set(), {}
+    for i, t in data:
+        b, gone = t.encode(), bytearray(len(t))
+        for s in range(len(b) - 99):
+            if b[s:s + 100] in seen:
+                gone[s:s + 100] = b"\1" * 100
+            seen.add(b[s:s + 100])
+        want[i] = bytes(x for x, g in zip(b, gone) if not g)
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert {x.doc_id: bytes(x.kept) for x in suffix_dedup.without_repeats(df).collect()} == want
+    assert 0 < sizes["suffix-met"] < sizes["suffix-classes"]
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    from revenue_engine.llm.common import stored
+    def shuffled():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in (found.apply(i).getName() for i in range(found.size())) if f.startswith("shuffle_")}
+    before = shuffled()
+    assert len(stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "t").collect()) == 7
+    for _ in range(50):  # deleted in the background
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+
+
 def test_line_dedup_of_short_lines(spark):
     df = spark.createDataFrame([(1, "Home\n\nabout  us\nHome"), (2, "home\n \nabout us\nus about\nA b\tc D"), (3, "a b c d\nhomes")],
                                "doc_id long, text string")
