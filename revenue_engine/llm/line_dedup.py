@@ -53,7 +53,7 @@ def row_key(docs: DataFrame) -> tuple[Column, Column]:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(id, rk, line, raw, hashes) of every line with words: its folded text and the hashes of its words.
+    """(id, rk, line, raw) of every line with words: its folded words, one space between them.
 
     The comparison works on the UTF-8 bytes read as Latin-1 and lower-cased: A-Z change,
     and other characters stay different from each other, as the number of continuation
@@ -62,19 +62,21 @@ def _lines(docs: DataFrame) -> DataFrame:
     folded = F.lower(F.decode(F.col("text").cast("string").cast("binary"), "ISO-8859-1"))
     for space in "\t\x0b\x0c\r":
         folded = F.replace(folded, F.lit(space), F.lit(" "))
-    # Keyed before the split: beside a generator the text would be hashed again for every line.
-    texts = docs.select(*row_key(docs), folded.alias("folded"))
-    raw = texts.select("id", "rk", F.posexplode_outer(F.split("folded", "\n")).alias("line", "raw")).where(F.length(F.trim("raw")) > 0)
-    return raw.select("id", "rk", "line", "raw", _hashes(F.col("raw")).alias("hashes"))
+    # Folded and keyed before the split: beside a generator the text would be hashed again for every line.
+    folded = F.regexp_replace(folded, " {2,}", " ")
+    for edge in ("\n ", " \n"):
+        folded = F.replace(folded, F.lit(edge), F.lit("\n"))
+    texts = docs.select(*row_key(docs), F.trim(folded).alias("folded"))
+    return texts.select("id", "rk", F.posexplode_outer(F.split("folded", "\n")).alias("line", "raw")).where("raw <> ''")
 
 
 def _hashes(raw: Column) -> Column:
-    return F.transform(F.array_remove(F.split(raw, " "), ""), lambda w: F.xxhash64(w))
+    return F.transform(F.split(raw, " "), lambda w: F.xxhash64(w))
 
 
 def _keys():
     """Two hashes that name a line's words, as two columns."""
-    return F.xxhash64("hashes").alias("k1"), F.xxhash64(F.lit(7), F.col("hashes")).alias("k2")
+    return F.xxhash64("raw").alias("k1"), F.xxhash64(F.lit(7), F.col("raw")).alias("k2")
 
 
 def _tokens() -> Column:
@@ -95,11 +97,15 @@ def _prefix(size: Column, overlap: float) -> Column:
 
 
 def _matchable(lines: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """Stored (node, k1, k2, place, size, tokens): classes of lines with a prefix token, by hash, of another class."""
+    """Stored (node, k1, k2, place, size, tokens): classes of lines with a prefix token, by hash, of another class.
+
+    ``prefixes`` is dropped on the way.
+    """
     posts = prefixes.select("k1", F.explode("prefix").alias("token"))
     # The smallest and the largest holder tell whether there are two, and combine before the shuffle.
     shared = posts.groupBy("token").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).where("a <> b").select("token")
     near = stored(posts.join(shared, "token", "left_semi").select("k1").distinct(), "line-near")
+    drop_stored(prefixes)
     classes = (lines.select("id", "rk", "line", *_keys(), "raw").join(near, "k1", "left_semi").groupBy("k1", "k2")
                .agg(F.min(F.struct("id", "rk", "line", "raw")).alias("m"))
                .select("k1", "k2", F.struct("m.id", "m.rk", "m.line").alias("place"), _hashes(F.col("m.raw")).alias("hashes"))
@@ -116,16 +122,19 @@ def _postings(nodes: DataFrame, similarity: float) -> DataFrame:
     ``short`` marks the shorter prefix, in which the smaller set of a pair, or either of equal sizes, holds the token.
     """
     posts = nodes.select("node", F.explode("tokens").alias("token"))
-    counts = posts.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written first, so that the shuffle of all counts is gone when all postings are shuffled.
+    counts = stored(posts.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "line-counts")
     ranked = posts.join(counts, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("held"))
     # Tokens of one class come first in its order; only their number matters.
     alone = F.col("size") - F.size("held")
     left = F.greatest(_prefix(F.col("size"), similarity) - alone, F.lit(0))
     short = _prefix(F.col("size"), 2 * similarity / (1 + similarity))
-    return stored(nodes.select("node", "place", "size").join(ranked, "node")
-                  .select("node", "place", "size", alone.alias("alone"), short.alias("short"), F.posexplode(F.slice("held", F.lit(1), left)).alias("at", "t"))
-                  .select("node", "place", "size", F.col("t.token").alias("token"), (F.col("alone") + F.col("at")).alias("pos"),
-                          (F.col("alone") + F.col("at") < F.col("short")).alias("short")), "line-postings")
+    out = stored(nodes.select("node", "place", "size").join(ranked, "node")
+                 .select("node", "place", "size", alone.alias("alone"), short.alias("short"), F.posexplode(F.slice("held", F.lit(1), left)).alias("at", "t"))
+                 .select("node", "place", "size", F.col("t.token").alias("token"), (F.col("alone") + F.col("at")).alias("pos"),
+                         (F.col("alone") + F.col("at") < F.col("short")).alias("short")), "line-postings")
+    drop_stored(counts)
+    return out
 
 
 def candidate_pairs(posts: DataFrame, others: DataFrame, similarity: float) -> DataFrame:
@@ -174,12 +183,12 @@ def _matched(nodes: DataFrame, similarity: float) -> DataFrame:
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Stored (id, rk, removed: array<int>): removed line numbers of each row key that loses lines."""
     lines = _lines(docs)
-    prefixes = stored(lines.select("id", "rk", "line", *_keys(), _tokens().alias("tokens"))
+    prefixes = stored(lines.select("id", "rk", "line", *_keys(), _hashes(F.col("raw")).alias("hashes"))
+                      .select("id", "rk", "line", "k1", "k2", _tokens().alias("tokens"))
                       .select("id", "rk", "line", "k1", "k2", F.slice("tokens", F.lit(1), _prefix(F.size("tokens"), similarity)).alias("prefix")),
                       "line-prefixes")
     keys = stored(prefixes.select("id", "rk", "line", "k1", "k2"), "line-keys")
     nodes = _matchable(lines, prefixes)
-    drop_stored(prefixes)
     matched = _matched(nodes, similarity)
     gone = nodes.join(matched, "node", "left_semi").select("k1", "k2", F.lit(True).alias("gone"))
     # Of a class only its first place can stay, unless an earlier class matched it. The one token of a line of few

@@ -420,3 +420,20 @@ def test_line_dedup_with_a_frequent_passage(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     assert {x.id for x in line_dedup.removed_lines(df).collect()} == want and 24 < len(want) < len(texts)
     assert len(met) == 2 and sum(met) < 20 * len(texts), met
+
+
+def test_line_dedup_holds_no_more_tables_than_it_reads(spark, docs, monkeypatch):
+    import os
+    made, held, keep = {}, {}, line_dedup.stored
+
+    def counted(df, name):
+        held[name] = {n for n, path in made.items() if os.path.exists(path.removeprefix("file:"))}
+        out = keep(df, name)
+        made[name] = out._stored_path
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    line_dedup.removed_lines(docs).collect()
+    assert "line-prefixes" in held["line-near"] and held["line-matchable"] == {"line-keys", "line-near"}
+    assert held["line-postings"] == {"line-keys", "line-matchable", "line-counts"}
+    assert held["line-removed"] == {"line-keys", "line-matchable", "line-matched"}
