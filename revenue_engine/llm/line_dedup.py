@@ -4,9 +4,12 @@ A line's tokens are its five-word shingles, as hashes. Two lines match at a
 Jaccard similarity of ``SIMILARITY`` or more. Similar lines share a token of
 their prefixes under any one order of the tokens, which is used twice:
 
-1. Ordered by hash, a prefix is the first fifth of a line's tokens. A line
-   none of whose prefix tokens stands in another line's prefix matches nothing
-   and leaves; most lines do, for a fifth of the tokens shuffled.
+1. Ordered by hash, a prefix is the first fifth of a line's tokens and the
+   ``SHARED - 1`` after them, of which similar lines share ``SHARED``, or all
+   they must share if that is less. A line without as many that stand in other
+   prefixes matches nothing and leaves; a token of two lines counts for neither
+   if their sizes are not close. Most lines leave, for a fifth of the tokens
+   shuffled.
 2. Among the lines left, tokens are ordered by rarity: their exact count, ties
    by hash. Tokens of one line alone come first and are only counted, so
    frequent passages leave the prefixes. Lines that share a prefix token must
@@ -26,8 +29,8 @@ first; only classes this leaves unmatched meet every earlier holder.
 A line of one to four words has its whole word sequence as its one token: equal
 ones are one class, whose first place stays, and it matches nothing else.
 
-Whole token sets are made, from a second reading of the texts, for the lines
-that can match alone. Native expressions only. Defined results: a
+Whole token sets are made, from a second reading of the texts, for one line
+of each class that can match alone. Native expressions only. Defined results: a
 line without words is never removed; A-Z are lower-cased for the comparison
 only; null texts stay null and have no lines; rows that repeat an id and its
 text share its removals; null ids come last in order; an empty table gives an
@@ -43,7 +46,9 @@ from revenue_engine.llm.common import drop_stored, stored
 
 WORDS = 5
 SIMILARITY = 0.8
+SHARED = 3
 LAST = (1 << 63) - 1
+SPACES = " \t\x0b\x0c\r"
 
 
 def row_key(docs: DataFrame) -> tuple[Column, Column]:
@@ -52,26 +57,30 @@ def row_key(docs: DataFrame) -> tuple[Column, Column]:
             F.xxhash64(docs["text"].cast("string")).alias("rk"))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _lines(docs: DataFrame, places: DataFrame | None = None) -> DataFrame:
     """(id, rk, line, raw) of every line with words: its folded words, one space between them.
 
+    With ``places`` (id, rk, numbers: array<int>) of these lines alone.
+
     The comparison works on the UTF-8 bytes read as Latin-1 and lower-cased: A-Z change,
     and other characters stay different from each other, as the number of continuation
     bytes tells a shifted lead byte from the one it equals.
     """
-    folded = F.lower(F.decode(F.col("text").cast("string").cast("binary"), "ISO-8859-1"))
-    for space in "\t\x0b\x0c\r":
-        folded = F.replace(folded, F.lit(space), F.lit(" "))
-    # Folded and keyed before the split: beside a generator the text would be hashed again for every line.
-    folded = F.regexp_replace(folded, " {2,}", " ")
-    for edge in ("\n ", " \n"):
-        folded = F.replace(folded, F.lit(edge), F.lit("\n"))
-    texts = docs.select(*row_key(docs), F.trim(folded).alias("folded"))
-    return texts.select("id", "rk", F.posexplode_outer(F.split("folded", "\n")).alias("line", "raw")).where("raw <> ''")
-
-
-def _hashes(raw: Column) -> Column:
-    return F.transform(F.split(raw, " "), lambda w: F.xxhash64(w))
+    # Keyed before the split: beside a generator the text would be hashed again for every line.
+    texts = docs.select(*row_key(docs), F.col("text").cast("string").alias("text"))
+    if places is not None:
+        texts = texts.join(places, ["id", "rk"])
+    low = F.lower(F.decode(F.col("text").cast("binary"), "ISO-8859-1"))
+    lines = texts.select(*[c for c in texts.columns if c != "text"], F.posexplode_outer(F.split(low, "\n")).alias("line", "raw"))
+    if places is not None:
+        lines = lines.where(F.array_contains("numbers", F.col("line")))
+    raw = F.col("raw")
+    # Most lines hold single spaces alone, and finding that out is cheaper than replacing them.
+    odd = raw.contains("  ")
+    for space in SPACES[1:]:
+        odd = odd | raw.contains(space)
+    folded = F.when(odd, F.regexp_replace(raw, f"[{SPACES}]+", " ")).otherwise(raw)
+    return lines.where(raw.rlike(f"[^{SPACES}]")).select("id", "rk", "line", F.trim(folded).alias("raw"))
 
 
 def _keys():
@@ -79,16 +88,20 @@ def _keys():
     return F.xxhash64("raw").alias("k1"), F.xxhash64(F.lit(7), F.col("raw")).alias("k2")
 
 
-def _tokens() -> Column:
-    """The distinct shingles of ``hashes`` in order, none for lines of fewer than ``WORDS`` words."""
-    def shingle(h, i):
-        for k in range(1, WORDS):
-            h = h.bitwiseXOR(F.shiftleft(F.get(F.col("hashes"), i + k), 3 * k))
-        return h
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, wherever it stands in it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _tokens(raw: Column) -> Column:
+    """The distinct shingles of a line in order of their hashes, none for lines of fewer than ``WORDS`` words."""
+    def shingles(h):
+        starts = F.slice(h, F.lit(1), F.greatest(F.size(h) - (WORDS - 1), F.lit(0)))
+        return F.transform(starts, lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, WORDS)]))
 
-    starts = F.slice("hashes", 1, F.size("hashes") - (WORDS - 1))
-    tokens = F.when(F.size("hashes") >= WORDS, F.sort_array(F.array_distinct(F.transform(starts, shingle))))
-    return F.coalesce(tokens, F.array().cast("array<long>"))
+    # A hash is never null, so that arrays of plain longs are sorted.
+    hashes = F.transform(F.split(raw, " "), lambda w: F.xxhash64(w))
+    return F.sort_array(F.array_distinct(_once(hashes, shingles)))
 
 
 def _prefix(size: Column, overlap: float) -> Column:
@@ -96,20 +109,40 @@ def _prefix(size: Column, overlap: float) -> Column:
     return (size - F.ceil(size * F.lit(overlap) - 1e-9) + 1).cast("int")
 
 
-def _matchable(lines: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """Stored (node, k1, k2, place, size, tokens): classes of lines with a prefix token, by hash, of another class.
+def _must_share(size: Column, similarity: float) -> Column:
+    """Number of tokens, ``SHARED`` at most, that a set of ``size`` must share within the first prefixes."""
+    return F.least(F.lit(SHARED), F.ceil(size * F.lit(similarity) - 1e-9)).cast("int")
+
+
+def _near(prefixes: DataFrame, similarity: float) -> DataFrame:
+    """Stored (k1): classes with as many prefix tokens, by hash, in other classes' prefixes as a match takes."""
+    posts = prefixes.select("k1", "size", F.explode("prefix").alias("token"))
+    # The smallest and the largest holder tell whether there are two, and combine before the shuffle. Of two postings
+    # the sizes are known; copies of a line count as more.
+    shared = (posts.groupBy("token").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.count(F.lit(1)).alias("n"),
+                                         F.min("size").alias("lo"), F.max("size").alias("hi"))
+              .where((F.col("a") != F.col("b")) & ((F.col("n") > 2) | (F.col("lo") >= F.col("hi") * F.lit(similarity) - 1e-9)))
+              .select("token"))
+    # So do the smallest and the largest token: copies of a line bring each of its tokens several times.
+    held = (posts.join(shared.hint("shuffle_hash"), "token", "left_semi").groupBy("k1")
+            .agg(F.min("token").alias("a"), F.max("token").alias("b"), F.count(F.lit(1)).alias("n"), F.min("size").alias("size")))
+    need = _must_share(F.col("size"), similarity)
+    return stored(held.where((F.col("n") >= need) & ((need < 2) | (F.col("a") != F.col("b")))).select("k1"), "line-near")
+
+
+def _matchable(docs: DataFrame, keys: DataFrame, prefixes: DataFrame, similarity: float) -> DataFrame:
+    """Stored (node, k1, k2, place, size, tokens): classes that the first prefixes leave.
 
     ``prefixes`` is dropped on the way.
     """
-    posts = prefixes.select("k1", F.explode("prefix").alias("token"))
-    # The smallest and the largest holder tell whether there are two, and combine before the shuffle.
-    shared = posts.groupBy("token").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).where("a <> b").select("token")
-    near = stored(posts.join(shared, "token", "left_semi").select("k1").distinct(), "line-near")
+    near = _near(prefixes, similarity)
     drop_stored(prefixes)
-    classes = (lines.select("id", "rk", "line", *_keys(), "raw").join(near, "k1", "left_semi").groupBy("k1", "k2")
+    places = (keys.join(near, "k1", "left_semi").groupBy("k1", "k2").agg(F.min(F.struct("id", "rk", "line")).alias("p"))
+              .groupBy("p.id", "p.rk").agg(F.collect_list("p.line").alias("numbers")))
+    # Rows that repeat an id and its text bring a line several times.
+    classes = (_lines(docs, places).select(*_keys(), "id", "rk", "line", "raw").groupBy("k1", "k2")
                .agg(F.min(F.struct("id", "rk", "line", "raw")).alias("m"))
-               .select("k1", "k2", F.struct("m.id", "m.rk", "m.line").alias("place"), _hashes(F.col("m.raw")).alias("hashes"))
-               .select("k1", "k2", "place", _tokens().alias("tokens")))
+               .select("k1", "k2", F.struct("m.id", "m.rk", "m.line").alias("place"), _tokens(F.col("m.raw")).alias("tokens")))
     out = stored(classes.select(F.monotonically_increasing_id().alias("node"), "k1", "k2", "place",
                                 F.size("tokens").alias("size"), "tokens"), "line-matchable")
     drop_stored(near)
@@ -124,7 +157,7 @@ def _postings(nodes: DataFrame, similarity: float) -> DataFrame:
     posts = nodes.select("node", F.explode("tokens").alias("token"))
     # Written first, so that the shuffle of all counts is gone when all postings are shuffled.
     counts = stored(posts.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "line-counts")
-    ranked = posts.join(counts, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("held"))
+    ranked = posts.join(counts.hint("shuffle_hash"), "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("held"))
     # Tokens of one class come first in its order; only their number matters.
     alone = F.col("size") - F.size("held")
     left = F.greatest(_prefix(F.col("size"), similarity) - alone, F.lit(0))
@@ -182,13 +215,14 @@ def _matched(nodes: DataFrame, similarity: float) -> DataFrame:
 
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Stored (id, rk, removed: array<int>): removed line numbers of each row key that loses lines."""
-    lines = _lines(docs)
-    prefixes = stored(lines.select("id", "rk", "line", *_keys(), _hashes(F.col("raw")).alias("hashes"))
-                      .select("id", "rk", "line", "k1", "k2", _tokens().alias("tokens"))
-                      .select("id", "rk", "line", "k1", "k2", F.slice("tokens", F.lit(1), _prefix(F.size("tokens"), similarity)).alias("prefix")),
+    size = F.col("size")
+    prefixes = stored(_lines(docs).select("id", "rk", "line", *_keys(), _tokens(F.col("raw")).alias("tokens"))
+                      .select("id", "rk", "line", "k1", "k2", F.size("tokens").alias("size"), "tokens")
+                      .select("id", "rk", "line", "k1", "k2", "size",
+                              F.slice("tokens", F.lit(1), _prefix(size, similarity) - 1 + _must_share(size, similarity)).alias("prefix")),
                       "line-prefixes")
     keys = stored(prefixes.select("id", "rk", "line", "k1", "k2"), "line-keys")
-    nodes = _matchable(lines, prefixes)
+    nodes = _matchable(docs, keys, prefixes, similarity)
     matched = _matched(nodes, similarity)
     gone = nodes.join(matched, "node", "left_semi").select("k1", "k2", F.lit(True).alias("gone"))
     # Of a class only its first place can stay, unless an earlier class matched it. The one token of a line of few

@@ -437,3 +437,53 @@ def test_line_dedup_holds_no_more_tables_than_it_reads(spark, docs, monkeypatch)
     assert "line-prefixes" in held["line-near"] and held["line-matchable"] == {"line-keys", "line-near"}
     assert held["line-postings"] == {"line-keys", "line-matchable", "line-counts"}
     assert held["line-removed"] == {"line-keys", "line-matchable", "line-matched"}
+
+
+def test_line_dedup_leaves_lines_of_one_common_shingle_early(spark, monkeypatch):
+    """Tables after the first prefixes hold the lines that match, not those that share a shingle now and then."""
+    r = random.Random(13)
+    def own(n):
+        return [f"w{r.randrange(1 << 40)}" for _ in range(n)]
+    common = [own(5) for _ in range(30)]
+    texts = [" ".join(own(30) + r.choice(common) + own(30)) for _ in range(600)]
+    texts += [t + " tail" for t in texts[:20]]
+    sizes, keep = {}, line_dedup.stored
+
+    def counted(df, name):
+        out = keep(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {x.id for x in line_dedup.removed_lines(df).collect()} == set(range(600, 620))
+    assert 40 <= sizes["line-matchable"] <= 60, sizes
+
+
+def test_line_dedup_of_small_sets_and_odd_spaces(spark):
+    """Against brute force: few shingles, of which all must be shared, copies, repeated rows, spaces of every kind."""
+    r = random.Random(14)
+    base = [[r.choice("abcdef") + str(r.randrange(3)) for _ in range(r.randrange(1, 22))] for _ in range(60)]
+    def line():
+        w = list(r.choice(base))
+        if r.random() < 0.6:
+            w = r.choice([w + ["z"], ["z"] + w, w[1:], w[:-1], w + w[:3]])
+        gap = r.choice([" ", " ", "  ", "\t", " \r", "\x0b ", "\x0c"])
+        return r.choice(["", " ", "\t"]) + gap.join(w) + r.choice(["", " ", "\r", "  "])
+    rows = [(i, "\n".join(line() for _ in range(r.randrange(1, 6)))) for i in range(80)]
+    rows += [rows[3], rows[4], (90, None), (91, " \t\n\r\n"), (92, rows[5][1].upper())]
+    seen, short, want = [], set(), {}
+    for i, t in sorted({(i, t) for i, t in rows if t}):
+        for k, x in enumerate(t.split("\n")):
+            w = _words(x.lower())
+            if len(w) >= 5:
+                s = {tuple(w[a:a + 5]) for a in range(len(w) - 4)}
+                gone = any(len(s & o) >= 0.8 * len(s | o) - 1e-9 for o in seen)
+                seen.append(s)
+            else:
+                gone = tuple(w) in short
+                short |= {tuple(w)} if w else set()
+            if gone:
+                want.setdefault(i, []).append(k)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {x.id: x.removed for x in line_dedup.removed_lines(df).collect()} == want and len(want) > 40
