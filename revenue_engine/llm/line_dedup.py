@@ -123,11 +123,15 @@ def _near(prefixes: DataFrame, similarity: float) -> DataFrame:
                                          F.min("size").alias("lo"), F.max("size").alias("hi"))
               .where((F.col("a") != F.col("b")) & ((F.col("n") > 2) | (F.col("lo") >= F.col("hi") * F.lit(similarity) - 1e-9)))
               .select("token"))
+    # Written first, so that the shuffle of all holders is gone when all postings are shuffled.
+    shared = stored(shared, "line-shared")
     # So do the smallest and the largest token: copies of a line bring each of its tokens several times.
     held = (posts.join(shared.hint("shuffle_hash"), "token", "left_semi").groupBy("k1")
             .agg(F.min("token").alias("a"), F.max("token").alias("b"), F.count(F.lit(1)).alias("n"), F.min("size").alias("size")))
     need = _must_share(F.col("size"), similarity)
-    return stored(held.where((F.col("n") >= need) & ((need < 2) | (F.col("a") != F.col("b")))).select("k1"), "line-near")
+    out = stored(held.where((F.col("n") >= need) & ((need < 2) | (F.col("a") != F.col("b")))).select("k1"), "line-near")
+    drop_stored(shared)
+    return out
 
 
 def _matchable(docs: DataFrame, keys: DataFrame, prefixes: DataFrame, similarity: float) -> DataFrame:

@@ -487,3 +487,15 @@ def test_line_dedup_of_small_sets_and_odd_spaces(spark):
                 want.setdefault(i, []).append(k)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert {x.id: x.removed for x in line_dedup.removed_lines(df).collect()} == want and len(want) > 40
+
+
+def test_line_dedup_writes_shared_tokens_before_postings_are_shuffled(spark, docs, monkeypatch):
+    held, keep = [], line_dedup.stored
+
+    def noted(df, name):
+        held.append(name)
+        return keep(df, name)
+
+    monkeypatch.setattr(line_dedup, "stored", noted)
+    line_dedup.removed_lines(docs).collect()
+    assert held[:5] == ["line-prefixes", "line-keys", "line-shared", "line-near", "line-matchable"]
