@@ -80,13 +80,15 @@ def link_fingerprints(fps: DataFrame, max_paired: int = MAX_PAIRED) -> DataFrame
                                          "if(j < 32, seg & ~shiftleft(1L, j), seg)").alias("sig")))
     groups = (keyed.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.min("bit").alias("lo"), F.max("bit").alias("hi"))
               .where("n > 1 and (lo <> hi or hi = -1)").select("sig", "n"))
-    met = stored(keyed.join(groups, "sig"), "simhash-met")
+    # Spark sizes an exploded table as if each row stayed one, and would broadcast all signatures of a small file of
+    # fingerprints from the driver; merged, neither side passes through it.
+    met = stored(keyed.hint("merge").join(groups, "sig"), "simhash-met")
     few = met.where(F.col("n") <= max_paired)
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2
     left = few.select("sig", F.col("fp").alias("a"), F.col("bit").alias("abit"))
     right = few.select("sig", F.col("fp").alias("b"), F.col("bit").alias("bbit"))
     # Wildcarded bit 0 against 1; for exact segments (-1) the smaller fingerprint first.
-    pairs = (left.join(right, "sig")
+    pairs = (left.hint("merge").join(right, "sig")
              .where(((F.col("abit") == 0) & (F.col("bbit") == 1))
                     | ((F.col("abit") == -1) & (F.col("a") < F.col("b"))))
              .where(near).select("a", "b"))
@@ -117,7 +119,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, text: str = "text", max_p
     fps = stored(with_fingerprint(docs, shingle, text)
                  .select(F.col("_row.doc_id").cast("long").alias("doc_id"), "fp"), "simhash-fps")
     comp = simhash_components(fps, max_paired)
-    return fps.join(comp, "fp").select("doc_id", "fp", "component_id")
+    # Ids in order take next to nothing in the file by which Spark would choose to broadcast them.
+    return fps.hint("merge").join(comp, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataFrame:

@@ -111,6 +111,24 @@ def test_simhash(docs, none, rows):
     assert len(ids) == len(set(ids)) == len({r.component_id for r in got}) and None in ids
 
 
+def test_simhash_signatures_are_not_broadcast(spark, monkeypatch):
+    r, plans, write = random.Random(4), {}, simhash.stored
+
+    def stored(df, name):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(simhash, "stored", stored)
+    docs = spark.createDataFrame([(i, " ".join(r.choices("abcdefgh", k=9))) for i in range(300)], "doc_id long, text string")
+    out = simhash.near_duplicates(docs)
+    assert out.count() == 300
+    # 66 signatures stand for each fingerprint of a file far below the threshold.
+    assert "SortMergeJoin" in plans["simhash-met"] and "BroadcastHashJoin" not in plans["simhash-met"]
+    # The table of all rows is not the one that is broadcast.
+    top = next(x for x in out._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in x)
+    assert "SortMergeJoin" in top
+
+
 @pytest.mark.parametrize("max_paired", [1, 1000])
 def test_simhash_links_lose_nothing(spark, max_paired):
     r = random.Random(3)
