@@ -14,6 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
+from revenue_engine.llm import common
 from revenue_engine.session import shared_dir
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, score double, removed int, size string, tkey string"
@@ -180,3 +181,33 @@ def test_only_the_last_input_stays_in_the_shared_folder(spark, folder):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{folder}/{name}.parquet").where(F.lit(False)).write.parquet(f"{folder}/none/{name}.parquet")
     assert cp.run(spark, folder + "/none").collect() == []
+
+
+def _broadcasts_exploded(plan):
+    """Whether a side that is broadcast is made by an explode, which Spark sizes as if each row stayed one."""
+    lines = plan.splitlines()
+    for i, x in enumerate(lines):
+        depth = x.find("BroadcastExchange")
+        for below in lines[i + 1:] if depth >= 0 else ():
+            if len(re.match(r"[\s:+\-|]*", below)[0]) <= depth:
+                break
+            if "Generate explode" in below:
+                return True
+    return False
+
+
+def test_no_exploded_table_is_broadcast(spark, folder, monkeypatch):
+    plans, write = {}, common.stored
+
+    def stored(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    for module in (common, cp.line_dedup, cp.mixing, cp.packing, cp.simhash, cp.toxicity):
+        if hasattr(module, "stored"):
+            monkeypatch.setattr(module, "stored", stored)
+    docs = spark.read.parquet(folder + "/documents.parquet")
+    for name, stage in cp.STAGES:
+        docs = common.stored(stage(spark, docs, folder), name)
+    assert {"simhash-met", *[name for name, _ in cp.STAGES]} <= plans.keys()
+    assert [name for name, plan in plans.items() if _broadcasts_exploded(plan)] == []
