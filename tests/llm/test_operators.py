@@ -390,6 +390,36 @@ def test_nn_descent_recall_and_scores(spark):
     assert nn_descent.nearest(rows.limit(0), F.col("id") % 20 == 0, 10).count() == 0
 
 
+def test_nn_descent_blocks_send_rows_of_many_nodes(spark, monkeypatch):
+    tables, write = {}, nn_descent.stored
+
+    def stored(df, name):
+        out = write(df, name)
+        tables.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(nn_descent, "stored", stored)
+    # Many blocks, and groups that are split by hash.
+    for name, value in (("CELL", 100), ("BLOCK", 150), ("GROUP", 200)):
+        monkeypatch.setattr(nn_descent, name, value, raising=False)
+    v = np.random.default_rng(8).normal(size=(3000, 12))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "id long, v array<double>")
+    got = {}
+    for r in nn_descent.nearest(rows, F.col("id") % 20 == 0, 10).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert sorted(got) == list(range(0, 3000, 20))
+    hit = 0
+    for q, found in got.items():
+        s = v @ v[q]
+        assert [n for n, _, _ in sorted(found)] == list(range(1, 11)) and all(abs(s[i] - x) < 1e-9 for _, i, x in found)
+        s[q] = -np.inf
+        hit += len(set(np.argsort(-s)[:10].tolist()) & {i for _, i, _ in found})
+    assert hit / (10 * len(got)) >= 0.9
+    # A row for a block, or for two that meet, where each node and each link had one.
+    assert len(tables["ann-graph"]) > 2 and max(tables["ann-graph"]) <= 60 and max(tables["ann-state"]) <= 60 * 60
+
+
 def test_url_query_matches_its_oracle(spark):
     con = duckdb.connect()
     con.execute(f"create view pages as select * from read_parquet('{SF_SMALL}/pages.parquet')")
